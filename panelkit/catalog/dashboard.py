@@ -35,6 +35,7 @@ from panelkit.plans.carbon import (
     read_dashboard,
     revenue_panel,
 )
+from panelkit.session import durable
 
 TAIL = (2001, [2002, 2003])
 HISTORY = list(range(1993, 2004))
@@ -91,18 +92,39 @@ def instrument_lines(spark, sf_dir):
     )
 
 
-def dashboard(spark, sf_dir) -> Dashboard:
-    lines = instrument_lines(spark, sf_dir)
-    name = F.concat(F.lit("Initiative "), F.col("unique_id"))
-    even = F.col("nk") % 2 == 0
-    of_bloc = F.col("unique_id") == K.BLOC_ID
-
-    ids = lines.groupBy("unique_id", "f", "s", "nk", "region").agg(
-        F.sum("n").alias("n"), F.sum("qty").cast("long").alias("qty")
+def instrument_ids(spark, sf_dir):
+    """Every instrument: nation by flag by status, and the bloc's own."""
+    own = (
+        table(spark, sf_dir, "nation")
+        .withColumn("f", F.explode(F.array(*[F.lit(f) for f in "ANR"])))
+        .withColumn("s", F.explode(F.array(*[F.lit(s) for s in "FO"])))
+        .select(
+            F.concat_ws("_", "f", "n_nationkey", "s").alias("unique_id"),
+            F.col("n_name").alias("region"),
+            F.col("n_nationkey").alias("nk"),
+            "f",
+            "s",
+        )
+    )
+    bloc = spark.range(1).select(
+        F.lit(K.BLOC_ID).alias("unique_id"),
+        F.lit("EU").alias("region"),
+        F.lit(None).cast("int").alias("nk"),
+        F.lit("N").alias("f"),
+        F.lit("F").alias("s"),
     )
-    info = ids.select(
+    return own.unionByName(bloc)
+
+
+def _name():
+    return F.concat(F.lit("Initiative "), F.col("unique_id"))
+
+
+def info_sheet(ids):
+    even = F.col("nk") % 2 == 0
+    return ids.select(
         "unique_id",
-        name.alias("instrument_name"),
+        _name().alias("instrument_name"),
         F.when(F.col("f") == "A", "Carbon tax")
         .when(F.col("f") == "R", "Carbon Tax")
         .when(F.col("nk") >= 20, "Undecided")
@@ -112,26 +134,42 @@ def dashboard(spark, sf_dir) -> Dashboard:
         .when(even, "Abolished")
         .otherwise("Under consideration")
         .alias("status"),
-        F.when(F.col("f") == "R", "n/a")
-        .otherwise(
-            F.concat(
-                (F.col("n") % 100).cast("string"),
-                F.lit(".5% of jurisdiction emissions, 1% of global emissions"),
-            )
-        )
-        .alias("share_of_jurisdiction_emissions_covered"),
-        F.when(F.col("s") == "O", "not set")
-        .otherwise(
-            F.concat(
-                F.lit("US$ "),
-                F.format_number("qty", 0),
-                F.lit(" (EUR "),
-                F.col("n").cast("string"),
-                F.lit(")"),
-            )
-        )
-        .alias("price_on_1_april"),
+        *[c for c in ids.columns if c in ("share_of_jurisdiction_emissions_covered", "price_on_1_april")],
+    )
+
+
+def with_texts(ids, lines):
+    """Add the two text cells, written from the instruments' totals."""
+    totals = lines.groupBy("unique_id").agg(
+        F.sum("n").alias("n"), F.sum("qty").cast("long").alias("qty")
+    )
+    share = F.concat(
+        (F.col("n") % 100).cast("string"),
+        F.lit(".5% of jurisdiction emissions, 1% of global emissions"),
     )
+    price = F.concat(
+        F.lit("US$ "),
+        F.format_number("qty", 0),
+        F.lit(" (EUR "),
+        F.col("n").cast("string"),
+        F.lit(")"),
+    )
+    return ids.join(totals, "unique_id").withColumns(
+        {
+            "share_of_jurisdiction_emissions_covered": F.when(F.col("f") == "R", "n/a").otherwise(
+                share
+            ),
+            "price_on_1_april": F.when(F.col("s") == "O", "not set").otherwise(price),
+        }
+    )
+
+
+def dashboard(spark, sf_dir, texts: bool = False) -> Dashboard:
+    # the facts are read once each; the sheets are made from these sums
+    lines = durable(instrument_lines(spark, sf_dir))
+    history = durable(history_panel(spark, sf_dir))
+    of_bloc = F.col("unique_id") == K.BLOC_ID
+    ids = instrument_ids(spark, sf_dir)
     regions = ids.select(
         "unique_id",
         "region",
@@ -144,7 +182,7 @@ def dashboard(spark, sf_dir) -> Dashboard:
         "unique_id",
         F.when(of_bloc | (F.col("f") == "A"), "bulk")
         .when(F.col("f") == "R", "diffuse")
-        .when(even, "all")
+        .when(F.col("nk") % 2 == 0, "all")
         .alias("sector_group"),
     )
     price = lines.select(
@@ -153,21 +191,23 @@ def dashboard(spark, sf_dir) -> Dashboard:
         "period",
         F.when(F.col("qty") / F.col("n") >= 25, F.col("tax") / F.col("n")).alias("value"),
     )
-    revenue = lines.select(name.alias("instrument_name"), "period", F.col("ext").alias("value"))
+    revenue = lines.select(
+        _name().alias("instrument_name"), "period", F.col("ext").alias("value")
+    )
     total = lines.filter(~of_bloc).groupBy("period").agg(F.sum("n").alias("total"))
     share = lines.join(total, "period").select(
-        name.alias("name_of_the_initiative"),
+        _name().alias("name_of_the_initiative"),
         "period",
         (0.5 * F.col("n") / F.col("total")).alias("value"),
     )
     return Dashboard(
-        info=info,
+        info=info_sheet(with_texts(ids, lines) if texts else ids),
         price=widen_years(price, ["unique_id", "income_group"], YEARS),
         revenue=widen_years(revenue, ["instrument_name"], YEARS),
         emissions=widen_years(share, ["name_of_the_initiative"], YEARS),
         region_map=regions,
         sector_map=sectors,
-        history=history_panel(spark, sf_dir),
+        history=history,
         members=bloc_members(spark, sf_dir),
         tail=TAIL,
     )
@@ -188,7 +228,7 @@ sheet AS (
   SELECT 'ETS_EU', period, SUM(n), SUM(qty), SUM(tax), SUM(ext) FROM lines
   WHERE f = 'N' AND s = 'F' AND n_name IN (SELECT name FROM member) GROUP BY period),
 inst AS (
-  SELECT DISTINCT f || '_' || nk || '_' || s AS unique_id, n_name AS region,
+  SELECT f || '_' || nk || '_' || s AS unique_id, n_name AS region,
          CASE WHEN nk % 7 = 6 THEN 'within_country' ELSE 'country' END AS region_type,
          CASE WHEN f IN ('A', 'R') THEN 'carbon_tax' WHEN nk >= 20 THEN NULL ELSE 'ets' END AS type,
          CASE WHEN f = 'A' THEN 'Carbon tax' WHEN f = 'R' THEN 'Carbon Tax' WHEN nk >= 20 THEN 'Undecided' ELSE 'ETS' END AS raw_type,
@@ -196,7 +236,7 @@ inst AS (
          CASE WHEN s = 'F' THEN 'Implemented' WHEN nk % 2 = 0 THEN 'Abolished' ELSE 'Under consideration' END AS raw_status,
          CASE WHEN f = 'A' THEN 'bulk' WHEN f = 'R' THEN 'diffuse' WHEN nk % 2 = 0 THEN 'all' ELSE '' END AS sector_group,
          CASE WHEN nk < 12 THEN 'High' ELSE 'Low' END AS income_group, f, s
-  FROM lines
+  FROM (SELECT n_nationkey AS nk, n_name, f, s FROM nation CROSS JOIN (VALUES ('A'), ('N'), ('R')) x(f) CROSS JOIN (VALUES ('F'), ('O')) z(s)) t
   UNION ALL
   SELECT 'ETS_EU', 'EU', 'region', 'ets', 'ETS', 'implemented', 'Implemented', 'bulk', 'Bloc', 'N', 'F'),
 price AS (
@@ -296,7 +336,8 @@ UNION ALL SELECT region, period, 'diffuse', ROUND({diffuse}, {places}) AS value{
 
 
 @query(f"""WITH {SHEET}
-SELECT unique_id, 'Initiative ' || unique_id AS instrument_name, region, region_type, type, status, sector_group, income_group FROM inst""")
+SELECT unique_id, 'Initiative ' || unique_id AS instrument_name, region, region_type, type, status, sector_group,
+  CASE WHEN unique_id IN (SELECT unique_id FROM sheet) THEN income_group END AS income_group FROM inst""")
 def instrument_dimension(spark, sf_dir):
     return instrument_dim(dashboard(spark, sf_dir)).select(
         *["unique_id", "instrument_name", "region", "region_type"],
@@ -308,7 +349,7 @@ def instrument_dimension(spark, sf_dir):
 SELECT i.unique_id, region, region_type, type, status, ROUND((t.n % 100 + 0.5) / 100, 8) AS emissions_coverage
 FROM inst i JOIN (SELECT unique_id, SUM(n) AS n FROM sheet GROUP BY 1) t ON t.unique_id = i.unique_id WHERE f <> 'R'""")
 def coverage_from_text(spark, sf_dir):
-    return rounded(coverage_shares(dashboard(spark, sf_dir)), "emissions_coverage")
+    return rounded(coverage_shares(dashboard(spark, sf_dir, texts=True)), "emissions_coverage")
 
 
 @query(f"""WITH {SHEET}
@@ -316,7 +357,7 @@ SELECT i.unique_id, region, region_type, raw_type AS type, raw_status AS status,
        format('{{:,}}', CAST(t.qty AS BIGINT)) AS price_on_1_april_US, CAST(t.qty AS DOUBLE) AS price_on_1_april
 FROM inst i JOIN (SELECT unique_id, SUM(qty) AS qty FROM sheet GROUP BY 1) t ON t.unique_id = i.unique_id WHERE s <> 'O'""")
 def april_price_from_text(spark, sf_dir):
-    return rounded(april_prices(dashboard(spark, sf_dir)), "price_on_1_april")
+    return rounded(april_prices(dashboard(spark, sf_dir, texts=True)), "price_on_1_april")
 
 
 @query(f"WITH {SHEET} SELECT {TAGS}, ROUND(value, 8) AS value FROM price")
@@ -336,9 +377,9 @@ def share_panel_by_name(spark, sf_dir):
     return rounded(emission_share_panel(dashboard(spark, sf_dir)))
 
 
-@query(f"WITH {SHEET} SELECT {TAGS}, ROUND(value, 4) AS value FROM covered")
+@query(f"WITH {SHEET} SELECT {TAGS}, ROUND(value, 2) AS value FROM covered")
 def covered_by_instrument(spark, sf_dir):
-    return rounded(covered_emissions_panel(dashboard(spark, sf_dir)), places=4)
+    return rounded(covered_emissions_panel(dashboard(spark, sf_dir)), places=2)
 
 
 @query(f"WITH {SHEET} SELECT region, period, variable, ROUND(SUM(value), 4) AS value FROM tail GROUP BY 1, 2, 3")
@@ -367,9 +408,9 @@ def dashboard_revenue(spark, sf_dir):
 
 
 @query(f"""WITH {SHEET}, {ALLOCATED}
-SELECT region, type, status, sector_group, period, ROUND(value, 4) AS value FROM allocated""")
+SELECT region, type, status, sector_group, period, ROUND(value, 2) AS value FROM allocated""")
 def dashboard_emissions_covered(spark, sf_dir):
-    return rounded(read_dashboard(dashboard(spark, sf_dir), "emissionsCovered"), places=4)
+    return rounded(read_dashboard(dashboard(spark, sf_dir), "emissionsCovered"), places=2)
 
 
 def _carbon(spark, sf_dir, subtype):
@@ -380,12 +421,13 @@ def _carbon(spark, sf_dir, subtype):
         subtype,
         HISTORY,
         EXCLUDED,
+        cut_lineage=True,
     ).data
 
 
-@query(f"{BOARD} {_two('eb', 'ed', weight=False, places=4)}")
+@query(f"{BOARD} {_two('eb', 'ed', weight=False, places=2)}")
 def carbon_emissions_covered(spark, sf_dir):
-    return rounded(_carbon(spark, sf_dir, "emissionsCovered"), places=4)
+    return rounded(_carbon(spark, sf_dir, "emissionsCovered"), places=2)
 
 
 def _weighted(df):

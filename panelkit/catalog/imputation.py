@@ -87,18 +87,18 @@ def all_series(raw):
 
 
 def daily_weights(spark, sf_dir):
-    """GDP and population of a customer: its orders' value and number, on every day."""
+    """GDP and population of a customer on every day: value of all and of final orders."""
     per_customer = (
         table(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").cast("string").alias("region"))
         .agg(
             F.sum("o_totalprice").alias("gdp"),
-            F.count_if(F.col("o_orderstatus") == "F").cast("double").alias("pop"),
+            F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("pop"),
         )
         .withColumn("period", F.explode(F.array(*[F.lit(d) for d in DAYS])))
     )
     gdp = per_customer.select("region", "period", F.col("gdp").alias("value"))
-    pop = per_customer.filter("pop > 0").select("region", "period", F.col("pop").alias("value"))
+    pop = per_customer.filter("pop IS NOT NULL").select("region", "period", F.col("pop").alias("value"))
     return gdp, pop
 
 
@@ -154,7 +154,7 @@ filled AS (
 WEIGHTED = f"""{FILLED},
 per_customer AS (
   SELECT CAST(o_custkey AS VARCHAR) AS region, SUM(o_totalprice) AS gdp,
-         NULLIF(CAST(COUNT(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS DOUBLE), 0) AS pop
+         SUM(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS pop
   FROM orders GROUP BY 1),
 groups AS (
   SELECT CAST(c_custkey AS VARCHAR) AS region, n_name AS RegionCode
@@ -208,19 +208,19 @@ def _imputed(spark, sf_dir):
 
 
 @query(f"""WITH {FILLED}
-SELECT region, type, driver, period, ROUND(value, 8) AS value, driver_name, unit, weight, na_is_zero FROM described""")
+SELECT region, type, driver, period, ROUND(value, 6) AS value, driver_name, unit, weight, na_is_zero FROM described""")
 def metadata_flags(spark, sf_dir):
     out = attach_metadata(_dense(spark, sf_dir), indicator_mapping(spark), ["type", "driver"])
-    return rounded(out.drop("duplicated"))
+    return rounded(out.drop("duplicated"), places=6)
 
 
 @query(f"""WITH {FILLED}
-SELECT region, type, driver, period, ROUND(value, 8) AS value, driver_name, unit, weight FROM filled""")
+SELECT region, type, driver, period, ROUND(value, 6) AS value, driver_name, unit, weight FROM filled""")
 def zero_fill_flagged_series(spark, sf_dir):
     mapping = indicator_mapping(spark)
     described = attach_metadata(_dense(spark, sf_dir), mapping, ["type", "driver"])
     out = zero_fill_flagged(described, mapping, ["__line"])
-    return rounded(out.drop("duplicated", "na_is_zero"))
+    return rounded(out.drop("duplicated", "na_is_zero"), places=6)
 
 
 @query(f"""WITH {WEIGHTED}
@@ -233,25 +233,24 @@ def attach_weight_choice(spark, sf_dir):
 
 
 @query(f"""WITH {WEIGHTED}
-SELECT RegionCode, driver, driver_name, unit, weight, period, ROUND(reg_avg, 6) AS reg_avg,
+SELECT RegionCode, driver, driver_name, unit, weight, period, ROUND(reg_avg, 8) AS reg_avg,
        ROUND(reg_weight_sum, 2) AS reg_weight_sum FROM averages""")
 def regional_average_by_group(spark, sf_dir):
     out = regional_average(_weighted(spark, sf_dir))
-    return rounded(rounded(out, "reg_avg", places=6), "reg_weight_sum", places=2)
+    return rounded(rounded(out, "reg_avg"), "reg_weight_sum", places=2)
 
 
 @query(f"""WITH {WEIGHTED}
 SELECT region, type, driver, driver_name, unit, weight, period, ROUND(value_original, 6) AS value_original,
-       ROUND(value_filled, 6) AS value_filled, is_percent_like, fill_type, ROUND(weight_val, 4) AS weight_val
+       ROUND(value_filled, 8) AS value_filled, is_percent_like, fill_type, ROUND(weight_val, 4) AS weight_val
 FROM imputed""")
 def impute_regional(spark, sf_dir):
     out = _imputed(spark, sf_dir).select(
         *["region", "type", "driver", "driver_name", "unit", "weight", "period"],
         *["value_original", "value_filled", "is_percent_like", "fill_type", "weight_val"],
     )
-    return rounded(
-        rounded(out, "value_original", "value_filled", places=6), "weight_val", places=4
-    )
+    out = rounded(out, "value_original", places=6)
+    return rounded(rounded(out, "value_filled"), "weight_val", places=4)
 
 
 @query(f"""WITH {WEIGHTED}

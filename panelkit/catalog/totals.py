@@ -25,12 +25,10 @@ from panelkit.functions import weighted_mean
 from panelkit.operators.joins import combine, common_keys, missing_keys, smaller_of
 from panelkit.operators.panel import below_minimum
 
-# number of customers and sum of their balance, per nation and segment; a balance
-# below zero counts as no balance
+# sum of the customers' balances per nation and segment, those below zero left out
 CUSTOMERS = """
 cu AS (
-  SELECT n_name AS region, c_mktsegment AS category, COUNT(*) AS customers,
-         SUM(CASE WHEN c_acctbal >= 0 THEN c_acctbal END) AS balance
+  SELECT n_name AS region, c_mktsegment AS category, SUM(CASE WHEN c_acctbal >= 0 THEN c_acctbal END) AS balance
   FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)"""
 
 
@@ -38,14 +36,11 @@ def customers(spark, sf_dir):
     per_nation = (
         table(spark, sf_dir, "customer")
         .groupBy("c_nationkey", F.col("c_mktsegment").alias("category"))
-        .agg(
-            F.count(F.lit(1)).alias("customers"),
-            F.sum(F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal"))).alias("balance"),
-        )
+        .agg(F.sum(F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal"))).alias("balance"))
     )
     nation = nations(spark, sf_dir)
     return per_nation.join(nation, per_nation.c_nationkey == nation.n_nationkey).select(
-        F.col("n_name").alias("region"), "category", "customers", "balance"
+        F.col("n_name").alias("region"), "category", "balance"
     )
 
 
@@ -71,7 +66,7 @@ def sum_out_strict(spark, sf_dir):
 
 @query(f"""WITH {PO}, total AS (SELECT period, SUM(value) AS total FROM po GROUP BY period),
 part_of AS (SELECT region, period, category, value / SUM(value) OVER (PARTITION BY region, period) AS share FROM po)
-SELECT s.region, s.period, s.category, ROUND(s.share * t.total, 4) AS value
+SELECT s.region, s.period, s.category, ROUND(s.share * t.total) AS value
 FROM part_of s LEFT JOIN total t ON t.period = s.period""")
 def share_times_total(spark, sf_dir):
     po = orders_panel(spark, sf_dir)
@@ -81,7 +76,7 @@ def share_times_total(spark, sf_dir):
         .withColumn("value", F.col("value") / F.col("whole"))
         .drop("whole")
     )
-    return rounded(times_total(shares, total_by(po, ["period"]), ["period"]), places=4)
+    return rounded(times_total(shares, total_by(po, ["period"]), ["period"]), places=0)
 
 
 @query(f"""WITH {PO} SELECT period, ROUND(SUM(value), 4) AS value FROM po
@@ -93,8 +88,8 @@ def filtered_total_per_year(spark, sf_dir):
 
 @query(f"""WITH {PO}, {CUSTOMERS}
 SELECT r_name AS region, po.period, po.category,
-       ROUND(SUM(po.value * cu.balance) / SUM(cu.balance), 4) AS value,
-       ROUND(SUM(cu.balance), 4) AS weight
+       ROUND(SUM(po.value * cu.balance) / SUM(cu.balance), 2) AS value,
+       ROUND(SUM(cu.balance), 2) AS weight
 FROM po JOIN cu ON cu.region = po.region AND cu.category = po.category
      JOIN nation ON n_name = po.region JOIN region r ON n_regionkey = r_regionkey
 GROUP BY 1, 2, 3""")
@@ -103,7 +98,7 @@ def aggregate_regions_mean(spark, sf_dir):
     weights = customers(spark, sf_dir).select("region", "category", F.col("balance").alias("weight"))
     weighted = po.join(weights, ["region", "category"], "left")
     out = aggregate_regions(weighted, region_map(spark, sf_dir))
-    return rounded(out, "value", "weight", places=4)
+    return rounded(out, "value", "weight", places=2)
 
 
 @query(f"""WITH {PO}
@@ -122,7 +117,7 @@ def aggregate_regions_sum(spark, sf_dir):
   FROM po JOIN cu ON cu.region = po.region AND cu.category = po.category
        JOIN nation ON n_name = po.region JOIN region r ON n_regionkey = r_regionkey)
 SELECT r_name AS region, period, category,
-       CASE WHEN COUNT(*) = COUNT(weight) THEN ROUND(SUM(value * weight) / SUM(weight), 4) END AS value
+       CASE WHEN COUNT(*) = COUNT(weight) THEN ROUND(SUM(value * weight) / SUM(weight), 2) END AS value
 FROM w GROUP BY 1, 2, 3""")
 def weighted_mean_region(spark, sf_dir):
     po = orders_panel(spark, sf_dir)
@@ -137,18 +132,18 @@ def weighted_mean_region(spark, sf_dir):
     out = joined.groupBy(F.col("RegionCode").alias("region"), "period", "category").agg(
         weighted_mean(F.col("value"), F.col("weight")).alias("value")
     )
-    return rounded(out, places=4)
+    return rounded(out, places=2)
 
 
 @query(f"""WITH {PO}, {CUSTOMERS}
-SELECT po.region, po.period, po.category, ROUND(po.value / cu.customers, 4) AS value
+SELECT po.region, po.period, po.category, ROUND(po.value / cu.balance, 6) AS value
 FROM po JOIN cu ON cu.region = po.region AND cu.category = po.category""")
-def ratio_per_capita(spark, sf_dir):
-    heads = customers(spark, sf_dir).select(
-        "region", "category", F.col("customers").cast("double").alias("value")
+def ratio_to_balance(spark, sf_dir):
+    balance = customers(spark, sf_dir).select(
+        "region", "category", F.col("balance").alias("value")
     )
-    out = combine(orders_panel(spark, sf_dir), heads, F.try_divide, ["region", "category"])
-    return rounded(out, places=4)
+    out = combine(orders_panel(spark, sf_dir), balance, F.try_divide, ["region", "category"])
+    return rounded(out, places=6)
 
 
 @query(f"""WITH {PO}, later AS (SELECT region, CAST(period + 1 AS INTEGER) AS period, category, value FROM po)

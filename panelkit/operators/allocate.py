@@ -170,23 +170,29 @@ def expand_group(
 def net_of_group(
     df: DataFrame,
     own: Column,
-    group: Column,
+    group: DataFrame,
     keys: list[str],
     value: str = "value",
 ) -> DataFrame:
-    """Replace the ``own`` rows by what they exceed the ``group`` rows of their key.
+    """Replace the ``own`` rows by what they exceed the ``group`` value of their key.
 
     Rows that do not exceed it are removed, and so are rows whose key has no
-    group row. Only the ``own`` rows take part in the join.
+    group value. ``df`` is read once; ``own`` is part of the join condition, so all
+    other rows pass through. A row for which ``own`` is NULL is dropped.
     """
-    amounts = df.filter(group).select(*keys, F.col(value).alias("__group"))
-    net = (
-        lookup(df.filter(own), amounts, {k: k for k in keys})
-        .withColumn(value, F.col(value) - F.col("__group"))
-        .filter(F.col(value) > 0)
+    amounts = group.select(
+        *[F.col(k).alias(f"__g_{k}") for k in keys], F.col(value).alias("__group")
+    )
+    matches = own
+    for k in keys:
+        matches = matches & (F.col(k) == F.col(f"__g_{k}"))
+    net = F.col(value) - F.col("__group")
+    return (
+        df.join(amounts, matches, "left")
+        .filter(~own | (own & (net > 0)))
+        .withColumn(value, F.when(own, net).otherwise(F.col(value)))
         .select(*df.columns)
     )
-    return df.filter(~own).unionByName(net)
 
 
 def allocate_group_total(

@@ -197,7 +197,7 @@ def fill_years(df: DataFrame, years: Axis, keys: list[str] | None = None) -> Dat
         keys = [c for c in df.columns if c not in ("period", "value")]
     known = axis_array(years)
     # points off the list still shape the line between listed years
-    every = F.array_sort(F.array_union(known, axis_of(df, "period")))
+    every = F.sort_array(F.array_union(known, axis_of(df, "period")))
     filled = complete_and_fill(df, keys, every, by="period")
     return on_axis(filled, "period", years).select(*df.columns)
 

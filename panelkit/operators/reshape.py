@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions import to_number
+from panelkit.functions import nan_to_null, to_number
 
 
 def normalise_headers(df: DataFrame) -> DataFrame:
@@ -35,7 +35,12 @@ def melt_columns(
     df: DataFrame, ids: list[str], columns: list[str], name: str = "driver", value: str = "value"
 ) -> DataFrame:
     """One row per id and column; cells without a number stay as NULL rows."""
-    typed = df.select(*[_c(i) for i in ids], *[to_number(_c(c)).alias(c) for c in columns])
+    kinds = dict(df.dtypes)
+
+    def number(c: str):
+        return to_number(_c(c)) if kinds[c] == "string" else nan_to_null(_c(c).cast("double"))
+
+    typed = df.select(*[_c(i) for i in ids], *[number(c).alias(c) for c in columns])
     return typed.unpivot([_c(i) for i in ids], [_c(c) for c in columns], name, value)
 
 
@@ -60,8 +65,13 @@ def melt_years(
 
 
 def widen_years(df: DataFrame, ids: list[str], years: list[int]) -> DataFrame:
-    """Rows to one column per year. The years are given, so no job looks for them."""
-    return df.groupBy(*ids).pivot("period", list(years)).agg(F.max("value"))
+    """Rows to one column per year, in one aggregation and so one shuffle.
+
+    The years are given, so no job looks for them.
+    """
+    return df.groupBy(*ids).agg(
+        *[F.max(F.when(F.col("period") == y, F.col("value"))).alias(str(y)) for y in years]
+    )
 
 
 def align_columns(df: DataFrame, like: DataFrame) -> DataFrame:

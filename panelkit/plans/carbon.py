@@ -28,6 +28,7 @@ from panelkit.operators.complete import (
 from panelkit.operators.joins import lookup
 from panelkit.operators.panel import Result
 from panelkit.operators.reshape import melt_years
+from panelkit.session import durable
 
 TAGS = ["unique_id", "region", "region_type", "type", "status", "sector_group"]
 PANEL = ["region", "type", "status", "sector_group", "period", "value"]
@@ -201,29 +202,23 @@ def _bulk_rows(kind: str, members: Axis) -> Column:
 
 def net_of_bloc(df: DataFrame, board: Dashboard) -> DataFrame:
     """Copy bloc rows to its members and net the members' own bulk taxes of them."""
-    expanded = expand_group(
-        df,
-        F.col("unique_id") == board.bloc,
-        board.members,
-        keep=_is_country(),
-        changes={"region_type": F.lit("country")},
-    )
+    of_bloc = F.col("unique_id") == board.bloc
+    changes = {"region_type": F.lit("country")}
+    expanded = expand_group(df, of_bloc, board.members, keep=_is_country(), changes=changes)
+    copies = expand_group(df, of_bloc, board.members, keep=of_bloc & _is_country(), changes=changes)
     return net_of_group(
         expanded,
         own=_bulk_rows("carbon_tax", board.members),
-        group=_bulk_rows("ets", board.members) & (F.col("unique_id") == board.bloc),
+        group=copies.filter(_bulk_rows("ets", board.members)),
         keys=CELL,
     )
 
 
 def allocate_bloc(df: DataFrame, board: Dashboard) -> DataFrame:
     """Country rows, and the bloc's covered emissions in proportion to bulk emissions."""
-    bulk = (
-        history_by_sector(board)
-        .filter(member_of(F.col("variable"), K.SECTOR_GROUPS["bulk"]))
-        .groupBy(*CELL)
-        .agg(sum_zero(F.col("value")).alias("value"))
-    )
+    source, targets = board.tail
+    is_bulk = member_of(F.col("variable"), K.SECTOR_GROUPS["bulk"])
+    bulk = total_by(copy_year(board.history.filter(is_bulk), source, targets), CELL)
     totals = df.filter(F.col("unique_id") == board.bloc).select("period", "value")
     allocated = allocate_group_total(totals, bulk, board.members)
     tags = {
@@ -275,18 +270,25 @@ def carbon_price(
     subtype: str = "effectivePrice",
     history_years: list[int] | None = None,
     excluded: list[str] | None = None,
+    cut_lineage: bool = False,
 ) -> Result:
     """Covered emissions, their share, carbon price or effective price.
 
     Every input is reduced to one row per (region, year) with the sector groups
     side by side, hash-partitioned alike. The rules between the groups are then
     column expressions, so after these aggregations nothing is shuffled again.
+
+    Prices and covered emissions are read twice, for their years and their values.
+    ``cut_lineage`` writes them to the checkpoint folder instead of computing them
+    twice.
     """
     excluded = K.EXCLUDED_COUNTRIES if excluded is None else excluded
     needs_price = subtype in ("carbonPrice", "effectivePrice")
     implemented = F.col("status") == "implemented"
 
-    covered_rows = read_dashboard(board, "emissionsCovered")
+    keep = durable if cut_lineage else (lambda df: df)
+
+    covered_rows = keep(read_dashboard(board, "emissionsCovered"))
     years = axis_of(covered_rows, "period")
     covered = spread_groups(
         on_axis(covered_rows.filter(implemented), "region", countries),
@@ -295,7 +297,7 @@ def carbon_price(
         prefix="cov_",
     )
     if needs_price:
-        price_rows = read_dashboard(board, "price")
+        price_rows = keep(read_dashboard(board, "price"))
         years = F.array_intersect(axis_of(price_rows, "period"), years)
         price = spread_groups(
             on_axis(price_rows.filter(implemented), "region", countries),

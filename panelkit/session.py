@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,18 +25,23 @@ def local_session(cpus: int | str = "*", app: str = "panelkit") -> SparkSession:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+    """Write ``df`` to the shared checkpoint folder as Parquet and read it from there.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary folder.
+    For a small result that several later steps read: it is computed once, a lost
+    executor does not lose it, and its size is known to the planner. The folder is
+    the one the cluster names in ``spark.checkpoint.dir``. Only a local session
+    without that setting gets a temporary folder. Runs a job.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="panelkit-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{checkpoint_folder(spark)}/panelkit-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = os.path.join(tempfile.gettempdir(), f"panelkit-{os.getpid()}")
+    return folder.rstrip("/")
