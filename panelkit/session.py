@@ -33,7 +33,8 @@ def durable(df: DataFrame) -> DataFrame:
     without that setting gets a temporary folder. Runs a job.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/panelkit-{uuid.uuid4().hex}"
+    run = spark.sparkContext.applicationId
+    path = f"{checkpoint_folder(spark)}/panelkit/{run}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
