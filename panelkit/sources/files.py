@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.constants import CODE_REPAIRS, CODES_DROPPED
 from panelkit.functions import file_stem, member_of
 from panelkit.operators.reshape import melt_columns, normalise_headers
 
@@ -74,8 +75,6 @@ def read_indicator_folder(spark: SparkSession, path: str) -> DataFrame:
     if not files_by_header:
         raise FileNotFoundError(f"no *.csv in {path}")
 
-    from panelkit.constants import CODE_REPAIRS, CODES_DROPPED
-
     parts = [_melt_files(spark, h, paths) for h, paths in files_by_header.items()]
     rows = reduce(DataFrame.unionByName, parts)
     return rows.replace(CODE_REPAIRS, subset=["region"]).filter(
@@ -108,7 +107,7 @@ def mangle_header(names: list[str]) -> list[str]:
     out = []
     for name in names:
         clean = re.sub(r"[^\w.]", ".", name)
-        if not re.match(r"[^\W\d_]|\.(?!\d)", clean):
+        if not re.match(r"[^\W\d_]|\.(?!\d)", name):
             clean = "X" + clean
         out.append(clean + "." if clean in _RESERVED else clean)
     return _distinct_names(out, sep=".")
