@@ -29,6 +29,7 @@ from panelkit.operators.allocate import (
     zero_out,
 )
 from panelkit.operators.joins import combine
+from panelkit.session import durable
 
 CELL = ["region", "period"]
 GROUPS = ["bulk", "diffuse"]
@@ -62,8 +63,10 @@ def history_groups(spark, sf_dir):
     return map_groups(history_panel(spark, sf_dir), CELL, K.SECTOR_GROUPS, "variable")
 
 
-def covered_groups(spark, sf_dir):
-    hist = history_groups(spark, sf_dir).groupBy(*CELL).pivot("sector_group", GROUPS).sum("value")
+def covered_and_history(spark, sf_dir):
+    """Covered emissions and, as a table of its own, the history they are part of."""
+    history = durable(history_groups(spark, sf_dir))
+    hist = spread_groups(history, CELL, GROUPS)
     percent = instruments_panel(spark, sf_dir).filter(
         (F.col("type") == "ets")
         & (F.col("status") == "implemented")
@@ -74,9 +77,10 @@ def covered_groups(spark, sf_dir):
         .when(F.col("sector_group") == "bulk", 0.0823045267 * F.col("bulk"))
         .otherwise(0.0102880658 * F.col("diffuse"))
     )
-    return percent.join(hist, CELL).select(
+    covered = percent.join(hist, CELL).select(
         *CELL, "sector_group", (F.col("value") * base).alias("value")
     )
+    return covered, history
 
 
 @query(f"""WITH {HG}
@@ -110,7 +114,7 @@ def fold_all_group(spark, sf_dir):
   FROM cov JOIN hg ON hg.region = cov.region AND hg.period = cov.period)
 {LONG.format(places=2, source="s", bulk="bulk", diffuse="diffuse")}""")
 def split_all_by_share(spark, sf_dir):
-    covered, hist = covered_groups(spark, sf_dir), history_groups(spark, sf_dir)
+    covered, hist = covered_and_history(spark, sf_dir)
     return rounded(split_by_share(covered, hist, CELL, "all", GROUPS), places=2)
 
 
@@ -123,22 +127,21 @@ MOVED = """moved AS (
 
 
 def _tripled(spark, sf_dir):
-    return covered_groups(spark, sf_dir).withColumn("value", F.col("value") * 3)
+    covered, hist = covered_and_history(spark, sf_dir)
+    return covered.withColumn("value", F.col("value") * 3), hist
 
 
 @query(f"""WITH {HG}, {PI}, {COVERED}, {MOVED}
 {LONG.format(places=2, source="moved", bulk="bulk", diffuse="diffuse")}""")
 def reallocate_excess_groups(spark, sf_dir):
-    out = reallocate_excess(_tripled(spark, sf_dir), history_groups(spark, sf_dir), CELL, GROUPS)
+    out = reallocate_excess(*_tripled(spark, sf_dir), CELL, GROUPS)
     return rounded(out, places=2)
 
 
 @query(f"""WITH {HG}, {PI}, {COVERED}, {MOVED}
 {LONG.format(places=2, source="moved", bulk="LEAST(bulk, hb)", diffuse="LEAST(diffuse, hd)")}""")
 def reallocate_excess_cap(spark, sf_dir):
-    out = reallocate_excess(
-        _tripled(spark, sf_dir), history_groups(spark, sf_dir), CELL, GROUPS, capped=True
-    )
+    out = reallocate_excess(*_tripled(spark, sf_dir), CELL, GROUPS, capped=True)
     return rounded(out, places=2)
 
 
@@ -148,9 +151,9 @@ def reallocate_excess_cap(spark, sf_dir):
   FROM cov JOIN hg ON hg.region = cov.region AND hg.period = cov.period)
 {LONG.format(places=6, source="s", bulk="bulk", diffuse="diffuse")}""")
 def coverage_share(spark, sf_dir):
-    wide = spread_groups(covered_groups(spark, sf_dir), CELL, GROUPS)
+    covered, hist = covered_and_history(spark, sf_dir)
+    wide = spread_groups(covered, CELL, GROUPS)
     covered = gather_groups(wide, CELL, {"value": {g: F.col(g) for g in GROUPS}})
-    hist = history_groups(spark, sf_dir)
     keys = [*CELL, "sector_group"]
     return rounded(combine(covered, hist, ratio_or_zero, keys).select(*keys, "value"), places=6)
 
@@ -168,19 +171,26 @@ expanded AS (
 
 
 def with_bloc(spark, sf_dir):
+    """The instruments and the bloc's own, in one pass: a member's permit counts for both."""
     pi = instruments_panel(spark, sf_dir)
-    own = pi.withColumn("unique_id", F.lit("own"))
-    bloc = (
-        pi.filter(
-            (F.col("type") == "ets")
-            & (F.col("status") == "implemented")
-            & F.array_contains(bloc_members(spark, sf_dir), F.col("region"))
+    is_permit = (
+        (F.col("type") == "ets")
+        & (F.col("status") == "implemented")
+        & F.array_contains(bloc_members(spark, sf_dir), F.col("region"))
+    )
+    ids = F.when(is_permit, F.array(F.lit("own"), F.lit("bloc"))).otherwise(F.array(F.lit("own")))
+    of_bloc = F.col("unique_id") == "bloc"
+    return durable(
+        pi.withColumn("unique_id", F.explode(ids))
+        .withColumns(
+            {
+                "region": F.when(of_bloc, "EU").otherwise(F.col("region")),
+                "value": F.when(of_bloc, F.col("value") / 5).otherwise(F.col("value")),
+            }
         )
-        .groupBy("type", "status", "sector_group", "period")
-        .agg((F.sum("value") / 5).alias("value"))
-        .withColumns({"unique_id": F.lit("bloc"), "region": F.lit("EU")})
+        .groupBy("unique_id", "region", "type", "status", "sector_group", "period")
+        .agg(F.sum("value").alias("value"))
     )
-    return own.unionByName(bloc)
 
 
 def expanded(spark, sf_dir):

@@ -10,6 +10,7 @@ from panelkit.operators.complete import axis_of
 from panelkit.operators.joins import lookup, override_observed, override_with
 from panelkit.operators.reshape import widen_years
 from panelkit.plans.scenarios import clean_scenarios, scenario_extensions, weight_by_variable
+from panelkit.session import durable
 
 PRIORITY_SCENARIO = {
     "1-URGENT": "SSP1",
@@ -71,7 +72,8 @@ def scenario_rows(spark, sf_dir):
 
 
 def scenario_sheet(spark, sf_dir):
-    return widen_years(scenario_rows(spark, sf_dir), ROW, YEARS)
+    """The sheet as a table of its own: orders are read once, however often it is used."""
+    return durable(widen_years(scenario_rows(spark, sf_dir), ROW, YEARS))
 
 
 def country_names(spark, sf_dir):
@@ -94,7 +96,7 @@ def scenario_weights(spark, sf_dir):
         .agg(F.sum("o_totalprice").alias("gdp"), F.count(F.lit(1)).alias("pop"))
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    per_nation = (
+    per_nation = durable(
         per_customer.join(customer, per_customer.o_custkey == customer.c_custkey)
         .groupBy("c_nationkey", "period", "o_orderpriority")
         .agg(F.sum("gdp").alias("gdp"), F.sum("pop").cast("double").alias("pop"))
@@ -242,6 +244,10 @@ FROM full_panel f LEFT JOIN w ON w.region = f.region AND w.scenario = f.scenario
 def scenario_extension_panel(spark, sf_dir):
     names = country_names(spark, sf_dir)
     result = scenario_extensions(
-        scenario_sheet(spark, sf_dir), names, *scenario_weights(spark, sf_dir), axis_of(names, "code")
+        scenario_sheet(spark, sf_dir),
+        names,
+        *scenario_weights(spark, sf_dir),
+        axis_of(names, "code"),
+        cut_lineage=True,
     )
     return rounded(result.data, "value", "weight", places=4)

@@ -203,7 +203,10 @@ def _weighted(spark, sf_dir):
 
 def _imputed(spark, sf_dir):
     return imputed_indicators(
-        _filled(spark, sf_dir), *daily_weights(spark, sf_dir), customer_groups(spark, sf_dir)
+        _filled(spark, sf_dir),
+        *daily_weights(spark, sf_dir),
+        customer_groups(spark, sf_dir),
+        cut_lineage=True,
     )
 
 

@@ -10,16 +10,14 @@ from panelkit.operators.aggregate import first_per_key
 from panelkit.operators.joins import lookup, null_safe_join
 from panelkit.operators.gaps import zero_fill
 
+FLAGS = ("duplicated", "na_is_zero")
 GROUP_KEYS = ["RegionCode", "driver", "driver_name", "unit", "weight", "period"]
 
 
 def attach_metadata(df: DataFrame, mapping: DataFrame, keys: list[str]) -> DataFrame:
     """Join indicator metadata, read missing flags as FALSE, drop flagged duplicates."""
     meta = mapping.select(*[c for c in mapping.columns if c != "__line"])
-    flags = {
-        c: F.coalesce(F.col(c).try_cast("boolean"), F.lit(False))
-        for c in ("duplicated", "na_is_zero")
-    }
+    flags = {c: F.coalesce(F.col(c).try_cast("boolean"), F.lit(False)) for c in FLAGS}
     return null_safe_join(df, meta, keys).withColumns(flags).filter(~F.col("duplicated"))
 
 
@@ -29,21 +27,19 @@ def zero_fill_flagged(
     """Flagged indicators get 0 where no value is left, and their metadata by driver.
 
     A driver with several metadata rows takes the first of them in ``order``,
-    including its ``type``. Rows that are not flagged pass through unchanged.
+    including its ``type``. Rows that are not flagged pass through unchanged. The
+    rows are read once, the flag chooses per column.
     """
     meta = first_per_key(mapping, ["driver"], order)
-    meta_columns = [c for c in meta.columns if c != "driver" and c in df.columns]
-    flagged = df.filter(F.col("na_is_zero"))
-    replaced = lookup(
-        flagged.drop(*meta_columns), meta.select("driver", *meta_columns), {"driver": "driver"}
-    )
-    booleans = {
-        c: F.coalesce(F.col(c).try_cast("boolean"), F.lit(False))
-        for c in ("duplicated", "na_is_zero")
-        if c in meta_columns
-    }
-    replaced = zero_fill(replaced.withColumns(booleans), F.lit(True), value)
-    return df.filter(~F.col("na_is_zero")).unionByName(replaced.select(*df.columns))
+    replaced = [
+        c for c in meta.columns if c in df.columns and c not in ("driver", *FLAGS)
+    ]
+    meta = meta.select("driver", *[F.col(c).alias(f"__{c}") for c in replaced])
+    flag = F.col("na_is_zero")
+    joined = zero_fill(lookup(df, meta, {"driver": "driver"}), flag, value)
+    return joined.withColumns(
+        {c: F.when(flag, F.col(f"__{c}")).otherwise(F.col(c)) for c in replaced}
+    ).select(*df.columns)
 
 
 def weight_table(gdp: DataFrame, population: DataFrame) -> DataFrame:

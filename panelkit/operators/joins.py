@@ -105,15 +105,17 @@ def override_observed(
     """Copy observed rows to every target label; there they displace other rows.
 
     ``keys`` are the key columns besides ``label``. Rows are matched before the
-    copies are made, so the copies never pass through the join.
+    copies are made, so the copies never pass through the join. Rows of labels that
+    are no target match nothing and stay.
     """
     seen = df.filter(F.col(label) == observed)
     others = df.filter(F.col(label) != observed)
     if require_value:
         seen = seen.filter(F.col("value").isNotNull())
-    can_be_displaced = member_of(F.col(label), targets)
-    kept = others.filter(~can_be_displaced).unionByName(
-        missing_keys(others.filter(can_be_displaced), seen, keys)
-    )
+    displacing = seen.select(*[F.col(k).alias(f"__r_{k}") for k in keys]).distinct()
+    matches = member_of(F.col(label), targets)
+    for k in keys:
+        matches = matches & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    kept = others.join(displacing, matches, "left_anti")
     copies = seen.withColumn(label, F.explode(F.array(*[F.lit(t) for t in targets])))
     return kept.unionByName(copies)

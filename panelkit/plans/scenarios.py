@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit import constants as K
-from panelkit.operators.complete import Axis, axis_of, fill_entities, on_axis
+from panelkit.operators.complete import Axis, axis_array, axis_of, fill_entities, on_axis
 from panelkit.operators.joins import lookup, override_observed
 from panelkit.operators.panel import Result
-from panelkit.operators.reshape import melt_years
+from panelkit.operators.reshape import melt_years, year_columns
+from panelkit.session import durable
 
 
 def clean_scenarios(sheet: DataFrame) -> DataFrame:
@@ -75,12 +76,19 @@ def scenario_extensions(
     gdp: DataFrame,
     countries: Axis,
     require_value: bool = False,
+    cut_lineage: bool = False,
 ) -> Result:
-    """Scenario values for the years that all inputs have, with their weights."""
-    data = scenario_panel(sheet, names, require_value)
+    """Scenario values for the years that all inputs have, with their weights.
+
+    The sheet's years are those of its header. The merged rows are read twice, for
+    the grid of keys and for their values; ``cut_lineage`` writes them to the
+    checkpoint folder instead of computing them twice.
+    """
+    sheet_years = [int(y) for y in year_columns(sheet, K.FOUR_DIGIT_YEAR)]
     common = F.array_intersect(
-        axis_of(data, "period"),
+        axis_array(sheet_years),
         F.array_intersect(axis_of(population, "period"), axis_of(gdp, "period")),
     )
-    data = fill_entities(on_axis(data, "period", common), countries)
+    data = on_axis(scenario_panel(sheet, names, require_value), "period", common)
+    data = fill_entities(durable(data) if cut_lineage else data, countries)
     return Result(weight_by_variable(data, population, gdp), *K.SCENARIO_OUTPUT)
