@@ -5,6 +5,7 @@ from panelkit.catalog import (  # noqa: F401
     completion,
     dashboard,
     extensions,
+    files,
     imputation,
     labels,
     totals,

@@ -19,7 +19,7 @@ from panelkit.catalog.tables import (
     region_map,
     table,
 )
-from panelkit.operators.aggregate import aggregate_regions
+from panelkit.operators.aggregate import aggregate_result, total_by
 from panelkit.operators.reshape import widen_years
 from panelkit.plans.carbon import (
     Dashboard,
@@ -27,7 +27,9 @@ from panelkit.plans.carbon import (
     carbon_price,
     coverage_shares,
     covered_emissions_panel,
+    dashboard_panel,
     emission_share_panel,
+    gdp_per_capita,
     history_by_group,
     history_by_sector,
     instrument_dim,
@@ -51,7 +53,7 @@ def instrument_lines(spark, sf_dir):
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("l_quantity").alias("qty"),
-            F.sum(F.round(F.col("l_tax") * 100).cast("long")).alias("tax"),
+            F.sum(F.rint(F.col("l_tax") * 100).cast("long")).alias("tax"),
             F.sum("l_extendedprice").alias("ext"),
         )
     )
@@ -164,10 +166,13 @@ def with_texts(ids, lines):
     )
 
 
-def dashboard(spark, sf_dir, texts: bool = False) -> Dashboard:
+def dashboard(spark, sf_dir, texts: bool = False, emissions: bool = True) -> Dashboard:
+    """The inputs; without ``emissions`` the history is declared but not computed."""
     # the facts are read once each; the sheets are made from these sums
     lines = durable(instrument_lines(spark, sf_dir))
-    history = durable(history_panel(spark, sf_dir))
+    history = history_panel(spark, sf_dir)
+    if emissions:
+        history = durable(history)
     of_bloc = F.col("unique_id") == K.BLOC_ID
     ids = instrument_ids(spark, sf_dir)
     regions = ids.select(
@@ -339,7 +344,7 @@ UNION ALL SELECT region, period, 'diffuse', ROUND({diffuse}, {places}) AS value{
 SELECT unique_id, 'Initiative ' || unique_id AS instrument_name, region, region_type, type, status, sector_group,
   CASE WHEN unique_id IN (SELECT unique_id FROM sheet) THEN income_group END AS income_group FROM inst""")
 def instrument_dimension(spark, sf_dir):
-    return instrument_dim(dashboard(spark, sf_dir)).select(
+    return instrument_dim(dashboard(spark, sf_dir, emissions=False)).select(
         *["unique_id", "instrument_name", "region", "region_type"],
         *["type", "status", "sector_group", "income_group"],
     )
@@ -349,7 +354,7 @@ def instrument_dimension(spark, sf_dir):
 SELECT i.unique_id, region, region_type, type, status, ROUND((t.n % 100 + 0.5) / 100, 8) AS emissions_coverage
 FROM inst i JOIN (SELECT unique_id, SUM(n) AS n FROM sheet GROUP BY 1) t ON t.unique_id = i.unique_id WHERE f <> 'R'""")
 def coverage_from_text(spark, sf_dir):
-    return rounded(coverage_shares(dashboard(spark, sf_dir, texts=True)), "emissions_coverage")
+    return rounded(coverage_shares(dashboard(spark, sf_dir, texts=True, emissions=False)), "emissions_coverage")
 
 
 @query(f"""WITH {SHEET}
@@ -357,24 +362,24 @@ SELECT i.unique_id, region, region_type, raw_type AS type, raw_status AS status,
        format('{{:,}}', CAST(t.qty AS BIGINT)) AS price_on_1_april_US, CAST(t.qty AS DOUBLE) AS price_on_1_april
 FROM inst i JOIN (SELECT unique_id, SUM(qty) AS qty FROM sheet GROUP BY 1) t ON t.unique_id = i.unique_id WHERE s <> 'O'""")
 def april_price_from_text(spark, sf_dir):
-    return rounded(april_prices(dashboard(spark, sf_dir, texts=True)), "price_on_1_april")
+    return rounded(april_prices(dashboard(spark, sf_dir, texts=True, emissions=False)), "price_on_1_april")
 
 
 @query(f"WITH {SHEET} SELECT {TAGS}, ROUND(value, 8) AS value FROM price")
 def price_by_instrument(spark, sf_dir):
-    return rounded(price_panel(dashboard(spark, sf_dir)))
+    return rounded(price_panel(dashboard(spark, sf_dir, emissions=False)))
 
 
 @query(f"""WITH {SHEET}
 SELECT i.unique_id, region, region_type, type, status, sector_group, period, ROUND(ext, 4) AS value
 FROM sheet JOIN inst i ON i.unique_id = sheet.unique_id""")
 def revenue_by_instrument(spark, sf_dir):
-    return rounded(revenue_panel(dashboard(spark, sf_dir)), places=4)
+    return rounded(revenue_panel(dashboard(spark, sf_dir, emissions=False)), places=4)
 
 
 @query(f"WITH {SHEET} SELECT {TAGS}, ROUND(value, 8) AS value FROM share")
 def share_panel_by_name(spark, sf_dir):
-    return rounded(emission_share_panel(dashboard(spark, sf_dir)))
+    return rounded(emission_share_panel(dashboard(spark, sf_dir, emissions=False)))
 
 
 @query(f"WITH {SHEET} SELECT {TAGS}, ROUND(value, 2) AS value FROM covered")
@@ -396,7 +401,7 @@ def history_per_group(spark, sf_dir):
 @query(f"""WITH {SHEET}, {_net("price")}
 SELECT region, type, status, sector_group, period, ROUND(value, 8) AS value FROM netted""")
 def dashboard_price(spark, sf_dir):
-    return rounded(read_dashboard(dashboard(spark, sf_dir), "price"))
+    return rounded(read_dashboard(dashboard(spark, sf_dir, emissions=False), "price"))
 
 
 @query(f"""WITH {SHEET}, money AS (
@@ -404,7 +409,7 @@ def dashboard_price(spark, sf_dir):
 {_net("money")}
 SELECT region, type, status, sector_group, period, ROUND(value, 4) AS value FROM netted""")
 def dashboard_revenue(spark, sf_dir):
-    return rounded(read_dashboard(dashboard(spark, sf_dir), "revenue"), places=4)
+    return rounded(read_dashboard(dashboard(spark, sf_dir, emissions=False), "revenue"), places=4)
 
 
 @query(f"""WITH {SHEET}, {ALLOCATED}
@@ -413,7 +418,38 @@ def dashboard_emissions_covered(spark, sf_dir):
     return rounded(read_dashboard(dashboard(spark, sf_dir), "emissionsCovered"), places=2)
 
 
+@query(f"""WITH {SHEET}, {_net("price")}
+SELECT n_name AS region, k.type, k.status, k.sector_group, y.period, ROUND(COALESCE(n.value, 0), 8) AS value
+FROM (SELECT DISTINCT type, status, sector_group FROM netted) k CROSS JOIN (SELECT DISTINCT period FROM netted) y CROSS JOIN nation
+LEFT JOIN netted n ON n.region = n_name AND n.period = y.period AND n.type IS NOT DISTINCT FROM k.type
+  AND n.status IS NOT DISTINCT FROM k.status AND n.sector_group IS NOT DISTINCT FROM k.sector_group""")
+def price_on_country_list(spark, sf_dir):
+    board = dashboard(spark, sf_dir, emissions=False)
+    return rounded(dashboard_panel(board, all_nations(spark, sf_dir), "price"))
+
+
+@query(f"""WITH {H.strip()},
+gdp AS (SELECT region, period, SUM(value) AS value FROM hist GROUP BY 1, 2),
+heads AS (
+  SELECT n_name AS region, CAST(year(l_shipdate) AS INTEGER) AS period, SUM(l_extendedprice) AS value
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2),
+ratio AS (SELECT gdp.region, gdp.period, gdp.value / heads.value AS value
+          FROM gdp JOIN heads ON heads.region = gdp.region AND heads.period = gdp.period)
+SELECT region, period, ROUND(value, 8) AS value FROM ratio
+UNION ALL SELECT region, CAST(unnest([2002, 2003]) AS INTEGER), ROUND(value, 8) FROM ratio WHERE period = 2001""")
+def gdp_per_capita_with_tail(spark, sf_dir):
+    cell = ["region", "period"]
+    gdp = total_by(history_panel(spark, sf_dir), cell)
+    lines = instrument_lines(spark, sf_dir).filter(F.col("unique_id") != K.BLOC_ID)
+    heads = lines.groupBy(*cell).agg(F.sum("ext").alias("value"))
+    return rounded(gdp_per_capita(gdp, heads, TAIL))
+
+
 def _carbon(spark, sf_dir, subtype):
+    return _result(spark, sf_dir, subtype).data
+
+
+def _result(spark, sf_dir, subtype):
     return carbon_price(
         spark,
         dashboard(spark, sf_dir),
@@ -422,7 +458,7 @@ def _carbon(spark, sf_dir, subtype):
         HISTORY,
         EXCLUDED,
         cut_lineage=True,
-    ).data
+    )
 
 
 @query(f"{BOARD} {_two('eb', 'ed', weight=False, places=2)}")
@@ -455,5 +491,5 @@ def effective_price(spark, sf_dir):
 SELECT r_name AS region, period, sector_group, ROUND(SUM(value * weight) / SUM(weight), 6) AS value, ROUND(SUM(weight), 4) AS weight
 FROM eff JOIN nation ON n_name = eff.region JOIN region r ON r_regionkey = n_regionkey GROUP BY 1, 2, 3""")
 def effective_price_by_region(spark, sf_dir):
-    data = _carbon(spark, sf_dir, "effectivePrice")
-    return _weighted(aggregate_regions(data, region_map(spark, sf_dir)))
+    result = _result(spark, sf_dir, "effectivePrice")
+    return _weighted(aggregate_result(result, region_map(spark, sf_dir)).data)

@@ -142,7 +142,7 @@ def instruments_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("l_shipdate").alias("period"),
         "l_returnflag",
         "l_linestatus",
-        F.round(F.col("l_discount") * 100).cast("long").alias("percent"),
+        F.rint(F.col("l_discount") * 100).cast("long").alias("percent"),
     )
     per_supplier = (
         lines.join(part, lines.l_partkey == part.p_partkey)

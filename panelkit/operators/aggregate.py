@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import sum_strict, sum_zero, weighted_mean
 from panelkit.operators.joins import lookup
-from panelkit.operators.panel import panel_keys
+from panelkit.operators.panel import Result, panel_keys
 
 
 def sum_out(
@@ -81,6 +83,11 @@ def aggregate_regions(
     return joined.groupBy(F.col("__group").alias("region"), *keys).agg(*measures)
 
 
+def aggregate_result(result: Result, mapping: DataFrame) -> Result:
+    """A preparation's result per region group, by its weights or, without, as a sum."""
+    return replace(result, data=aggregate_regions(result.data, mapping))
+
+
 def fill_summary(df: DataFrame, label: str = "fill_type") -> DataFrame:
     """Rows per label and their percentage, one decimal.
 

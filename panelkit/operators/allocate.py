@@ -51,7 +51,7 @@ def map_groups(
 ) -> DataFrame:
     """Roll members up to groups. Every group is present for every key, 0 if empty."""
     wanted = [m for members in groups_of.values() for m in members]
-    sums = df.filter(member_of(F.col(member), wanted)).groupBy(*keys).agg(
+    sums = df.filter(F.col(member).isin(wanted)).groupBy(*keys).agg(
         *[
             sum_zero(F.when(F.col(member).isin(list(members)), F.col(value))).alias(f"__{g}")
             for g, members in groups_of.items()

@@ -43,7 +43,7 @@ def on_axis(df: DataFrame, column: str, axis: Axis) -> DataFrame:
     """Rows whose ``column`` lies on the axis."""
     if isinstance(axis, Column):
         return df.filter(F.array_contains(axis, F.col(column)))
-    return df.filter(member_of(F.col(column), axis))
+    return df.filter(F.col(column).isin(list(axis)))
 
 
 def complete_grid(
@@ -107,6 +107,10 @@ def fill_entities(
     """
     others = [c for c in df.columns if c not in (entity, value)]
     grid = df.select(*others).distinct().select("*", F.explode(axis_array(entities)).alias(entity))
+    return _fill_cells(df, grid, entities, fill, entity, value, others)
+
+
+def _fill_cells(df, grid, entities, fill, entity, value, others) -> DataFrame:
     cells = on_axis(df, entity, entities).withColumn("__present", F.lit(True))
     out = null_safe_join(grid, cells, [*others, entity], "left", not_null=[entity])
     if fill is not None:
@@ -149,9 +153,19 @@ def to_country_panel(
     fill: float | None = None,
     null_to_zero: bool = False,
     region: str = "region",
+    period: str = "period",
     value: str = "value",
 ) -> DataFrame:
-    """Clean to the official country list, absent ones filled with ``fill``."""
+    """Exactly the official countries, each with every category in every year.
+
+    Cells that were absent get ``fill``; with ``null_to_zero`` present cells without
+    a value become 0 first.
+    """
     if null_to_zero:
         df = df.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
-    return fill_entities(df, countries, fill, region, value)
+    categories = [c for c in df.columns if c not in (region, period, value)]
+    keys = df.select(*categories).distinct()
+    grid = keys.select("*", F.explode(axis_array(axis_of(df, period))).alias(period)).select(
+        "*", F.explode(axis_array(countries)).alias(region)
+    )
+    return _fill_cells(df, grid, countries, fill, region, value, [*categories, period])

@@ -24,8 +24,9 @@ from panelkit.operators.complete import (
     copy_year,
     grid_of,
     on_axis,
+    to_country_panel,
 )
-from panelkit.operators.joins import lookup
+from panelkit.operators.joins import combine, lookup
 from panelkit.operators.panel import Result
 from panelkit.operators.reshape import melt_years
 from panelkit.session import durable
@@ -217,7 +218,7 @@ def net_of_bloc(df: DataFrame, board: Dashboard) -> DataFrame:
 def allocate_bloc(df: DataFrame, board: Dashboard) -> DataFrame:
     """Country rows, and the bloc's covered emissions in proportion to bulk emissions."""
     source, targets = board.tail
-    is_bulk = member_of(F.col("variable"), K.SECTOR_GROUPS["bulk"])
+    is_bulk = F.col("variable").isin(K.SECTOR_GROUPS["bulk"])
     bulk = total_by(copy_year(board.history.filter(is_bulk), source, targets), CELL)
     totals = df.filter(F.col("unique_id") == board.bloc).select("period", "value")
     allocated = allocate_group_total(totals, bulk, board.members)
@@ -247,9 +248,24 @@ def read_dashboard(board: Dashboard, subtype: str = "price") -> DataFrame:
     return builders[subtype]()
 
 
+def dashboard_panel(board: Dashboard, countries: Axis, subtype: str = "price") -> DataFrame:
+    """One table on the official country list: absent cells and missing values are 0."""
+    return to_country_panel(
+        read_dashboard(board, subtype), countries, fill=0.0, null_to_zero=True
+    )
+
+
 # --- result -----------------------------------------------------------------
 
 
+def gdp_per_capita(
+    gdp: DataFrame, population: DataFrame, tail: tuple[int, list[int]] | None = None
+) -> DataFrame:
+    """GDP per head for the cells both panels have, last year repeated."""
+    source, targets = tail or (K.TAIL_SOURCE_YEAR, K.TAIL_YEARS)
+    return copy_year(combine(gdp, population, F.try_divide, CELL), source, targets)
+
+
 def history_by_group(board: Dashboard, years: list[int] | None = None) -> DataFrame:
     """Historical emissions with one column per sector group, absent years copied."""
     history = copy_latest(board.history, years or K.HISTORY_YEARS)
@@ -257,7 +273,7 @@ def history_by_group(board: Dashboard, years: list[int] | None = None) -> DataFr
     label = F.coalesce(
         *[F.when(F.col("variable").isin(K.SECTOR_GROUPS[g]), F.lit(g)) for g in GROUPS]
     )
-    grouped = history.filter(member_of(F.col("variable"), wanted)).withColumn(
+    grouped = history.filter(F.col("variable").isin(wanted)).withColumn(
         "sector_group", label
     )
     return spread_groups(grouped, CELL, GROUPS, prefix="hist_")

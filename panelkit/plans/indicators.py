@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit import constants as K
-from panelkit.operators.complete import Axis, axis_array, axis_of, fill_entities, on_axis
+from panelkit.operators.complete import Axis, axis_array, axis_of, on_axis, to_country_panel
 from panelkit.operators.gaps import complete_and_fill
 from panelkit.operators.impute import (
     attach_metadata,
@@ -25,8 +25,8 @@ SERIES = ["region", "type", "driver"]
 
 
 def clean_indicators(raw: DataFrame, countries: Axis) -> DataFrame:
-    """Official countries only, absent ones added without a value."""
-    return fill_entities(raw.select(*SERIES, "period", "value"), countries)
+    """Each indicator in every official country and every year, NULL where it was absent."""
+    return to_country_panel(raw.select(*SERIES, "period", "value"), countries)
 
 
 def series_of(raw: DataFrame, countries: Axis) -> DataFrame:

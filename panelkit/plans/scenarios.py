@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit import constants as K
-from panelkit.operators.complete import Axis, axis_array, axis_of, fill_entities, on_axis
+from panelkit.operators.complete import Axis, axis_array, axis_of, on_axis, to_country_panel
 from panelkit.operators.joins import lookup, override_observed
 from panelkit.operators.panel import Result
 from panelkit.operators.reshape import melt_years, year_columns
@@ -80,9 +80,9 @@ def scenario_extensions(
 ) -> Result:
     """Scenario values for the years that all inputs have, with their weights.
 
-    The sheet's years are those of its header. The merged rows are read twice, for
-    the grid of keys and for their values; ``cut_lineage`` writes them to the
-    checkpoint folder instead of computing them twice.
+    The sheet's years are those of its header. The merged rows are read three times,
+    for the keys and the years of the grid and for their values; ``cut_lineage``
+    writes them to the checkpoint folder instead of computing them again.
     """
     sheet_years = [int(y) for y in year_columns(sheet, K.FOUR_DIGIT_YEAR)]
     common = F.array_intersect(
@@ -90,5 +90,5 @@ def scenario_extensions(
         F.array_intersect(axis_of(population, "period"), axis_of(gdp, "period")),
     )
     data = on_axis(scenario_panel(sheet, names, require_value), "period", common)
-    data = fill_entities(durable(data) if cut_lineage else data, countries)
+    data = to_country_panel(durable(data) if cut_lineage else data, countries)
     return Result(weight_by_variable(data, population, gdp), *K.SCENARIO_OUTPUT)

@@ -83,13 +83,11 @@ def read_indicator_folder(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _melt_files(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
-    names = mangle_header(next(csv.reader([header])))
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (
-        spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-        .option("escape", '"').csv(paths)
-        .withColumn("type", file_stem(F.col("_metadata.file_name")))
-    )
+    raw = _distinct_names(next(csv.reader([header])))
+    names = mangle_header(raw)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in raw])
+    files = spark.read.schema(schema).option("header", True).option("escape", '"').csv(paths)
+    df = files.select("*", file_stem(F.col("_metadata.file_name"))).toDF(*names, "type")
     ids = ["Country", "Code", "ContinentCode", "Year"]
     drivers = [n for n in names if n not in ids]
     long = melt_columns(df, ["Code", "Year", "type"], drivers)
