@@ -8,6 +8,7 @@ from panelkit.catalog.tables import (
     PE_GRID,
     PO,
     all_nations,
+    day_of,
     events_panel,
     orders_panel,
     table,
@@ -146,6 +147,11 @@ def fill_gaps_in_chunks(spark, sf_dir):
     return rounded(fill_gaps_chunked(grid, SERIES, chunk=7), places=6)
 
 
+def minute_of(ts):
+    """Minutes since 1970, read off the clock fields, so no time zone plays a part."""
+    return day_of(ts).cast("long") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+
+
 # five series with a fifth of all events each, on an axis of minutes
 @query("""WITH cells AS (
   SELECT event_type AS category, CAST(epoch(date_trunc('minute', ts)) // 60 AS BIGINT) AS period,
@@ -167,7 +173,7 @@ def fill_long_series(spark, sf_dir):
         table(spark, sf_dir, "events")
         .groupBy(
             F.col("event_type").alias("category"),
-            F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60).alias("period"),
+            minute_of(F.col("ts")).alias("period"),
         )
         .agg(F.sum("value").alias("value"))
         .withColumn("value", F.when(F.col("value") >= 20, F.col("value")))

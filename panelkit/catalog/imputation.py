@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from panelkit.catalog.registry import query, rounded
-from panelkit.catalog.tables import day_of, nations, table
+from panelkit.catalog.tables import all_nations, day_of, nations, region_map, table
 from panelkit.operators.aggregate import fill_summary
 from panelkit.operators.complete import axis_of
 from panelkit.operators.gaps import complete_and_fill
@@ -15,7 +15,13 @@ from panelkit.operators.impute import (
     zero_fill_flagged,
 )
 from panelkit.operators.joins import lookup
-from panelkit.plans.indicators import SERIES, filled_indicators, imputed_indicators
+from panelkit.plans.indicators import (
+    SERIES,
+    economy_indicators,
+    filled_indicators,
+    imputed_indicators,
+)
+from panelkit.session import durable
 
 DAYS = list(range(19723, 19753))
 
@@ -113,18 +119,11 @@ def customer_groups(spark, sf_dir):
     )
 
 
-FILLED = f"""raw AS (
-  SELECT CAST(user_id AS VARCHAR) AS region, CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS type,
-         event_type AS driver,
-         CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS period, SUM(value) AS value
-  FROM events GROUP BY 1, 2, 3, 4),
-grid AS (
-  SELECT u.region, t.type, d.driver, p.period, raw.value
-  FROM (SELECT DISTINCT region FROM raw) u
-  CROSS JOIN (SELECT unnest(['am', 'pm']) AS type) t
-  CROSS JOIN (SELECT unnest(['click', 'view', 'purchase', 'signup', 'error']) AS driver) d
-  CROSS JOIN (SELECT DISTINCT period FROM raw WHERE period BETWEEN {DAYS[0]} AND {DAYS[-1]}) p
-  LEFT JOIN raw ON raw.region = u.region AND raw.type = t.type AND raw.driver = d.driver AND raw.period = p.period),
+# the steps after the raw cells, for entities, indicators and periods in question
+DENSE = """grid AS (
+  SELECT u.region, t.type, t.driver, p.period, raw.value
+  FROM entities u CROSS JOIN indicators t CROSS JOIN periods p
+  LEFT JOIN raw ON raw.region = u.region AND raw.type = t.type AND raw.driver = t.driver AND raw.period = p.period),
 numbered AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY region, type, driver ORDER BY period) AS i FROM grid),
 points AS (
   SELECT *,
@@ -137,7 +136,9 @@ points AS (
          down AS (PARTITION BY region, type, driver ORDER BY period ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 dense AS (
   SELECT region, type, driver, period,
-         COALESCE(value, pv + (nv - pv) * (i - pi) / (ni - pi), pv, nv) AS value FROM points),
+         COALESCE(value, pv + (nv - pv) * (i - pi) / (ni - pi), pv, nv) AS value FROM points)"""
+
+DESCRIBED = f"""{DENSE},
 {MAPPING},
 described AS (
   SELECT dense.*, m.driver_name, m.unit, m.weight,
@@ -151,20 +152,11 @@ filled AS (
   SELECT d.region, f.type, d.driver, d.period, COALESCE(d.value, 0), f.driver_name, f.unit, f.weight
   FROM described d LEFT JOIN first_line f ON f.driver = d.driver WHERE d.na_is_zero)"""
 
-WEIGHTED = f"""{FILLED},
-per_customer AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS region, SUM(o_totalprice) AS gdp,
-         SUM(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS pop
-  FROM orders GROUP BY 1),
-groups AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS region, n_name AS RegionCode
-  FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_acctbal >= 0),
-weighted AS (
+IMPUTED = """weighted AS (
   SELECT f.region, f.type, f.driver, f.period, f.value, f.driver_name, f.unit, g.RegionCode,
          CASE WHEN lower(f.weight) = 'gdp' THEN 'gdp' ELSE 'pop' END AS weight,
          CASE WHEN lower(f.weight) = 'gdp' THEN c.gdp ELSE c.pop END AS weight_val
-  FROM filled f LEFT JOIN per_customer c ON c.region = f.region AND f.period BETWEEN {DAYS[0]} AND {DAYS[-1]}
-       LEFT JOIN groups g ON g.region = f.region),
+  FROM filled f LEFT JOIN weights c ON c.region = f.region LEFT JOIN groups g ON g.region = f.region),
 averages AS (
   SELECT RegionCode, driver, driver_name, unit, weight, period,
          CASE WHEN COUNT(*) = COUNT(weight_val) THEN SUM(value * weight_val) / NULLIF(SUM(weight_val), 0) END AS reg_avg,
@@ -185,6 +177,45 @@ imputed AS (
    AND a.driver_name IS NOT DISTINCT FROM w.driver_name AND a.unit IS NOT DISTINCT FROM w.unit
    AND a.weight IS NOT DISTINCT FROM w.weight AND a.period = w.period)"""
 
+# per user
+FILLED = f"""raw AS (
+  SELECT CAST(user_id AS VARCHAR) AS region, CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS type,
+         event_type AS driver,
+         CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS period, SUM(value) AS value
+  FROM events GROUP BY 1, 2, 3, 4),
+entities AS (SELECT DISTINCT region FROM raw),
+indicators AS (
+  SELECT type, driver FROM (SELECT unnest(['am', 'pm']) AS type)
+  CROSS JOIN (SELECT unnest(['click', 'view', 'purchase', 'signup', 'error']) AS driver)),
+periods AS (SELECT DISTINCT period FROM raw WHERE period BETWEEN {DAYS[0]} AND {DAYS[-1]}),
+{DESCRIBED}"""
+
+WEIGHTED = f"""{FILLED},
+weights AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS region, SUM(o_totalprice) AS gdp,
+         SUM(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS pop
+  FROM orders GROUP BY 1),
+groups AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS region, n_name AS RegionCode
+  FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_acctbal >= 0),
+{IMPUTED}"""
+
+# per nation; only cells with enough value are kept, so that some series are empty
+BY_NATION = f"""raw AS (
+  SELECT n_name AS region, CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS type, event_type AS driver,
+         CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS period, SUM(value) AS value
+  FROM events JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey
+  GROUP BY 1, 2, 3, 4 HAVING SUM(value) > 200),
+entities AS (SELECT n_name AS region FROM nation),
+indicators AS (SELECT DISTINCT type, driver FROM raw),
+periods AS (SELECT DISTINCT period FROM raw WHERE period BETWEEN {DAYS[4]} AND {DAYS[24]}),
+{DESCRIBED},
+weights AS (
+  SELECT n_name AS region, SUM(o_totalprice) AS gdp, SUM(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS pop
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY 1),
+groups AS (SELECT n_name AS region, r_name AS RegionCode FROM nation JOIN region ON r_regionkey = n_regionkey),
+{IMPUTED}"""
+
 
 def _dense(spark, sf_dir):
     raw = raw_indicators(spark, sf_dir)
@@ -261,3 +292,54 @@ SELECT fill_type, COUNT(*) AS n, ROUND(100 * COUNT(*) / SUM(COUNT(*)) OVER (), 1
 FROM imputed GROUP BY fill_type""")
 def fill_summary_by_type(spark, sf_dir):
     return fill_summary(_imputed(spark, sf_dir))
+
+
+def nation_indicators(spark, sf_dir):
+    """Raw indicators per nation: events are summed per user before the join."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    per_user = raw_indicators(spark, sf_dir).withColumnRenamed("region", "user")
+    return (
+        per_user.join(customer, F.col("user").cast("bigint") == F.col("c_custkey"))
+        .groupBy("c_nationkey", "type", "driver", "period")
+        .agg(F.sum("value").alias("value"))
+        .filter("value > 200")
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(F.col("n_name").alias("region"), "type", "driver", "period", "value")
+    )
+
+
+def nation_weights(spark, sf_dir):
+    """GDP and population of a nation, the same on every day."""
+    final = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))
+    per_customer = (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey")
+        .agg(F.sum("o_totalprice").alias("gdp"), F.sum(final).alias("pop"))
+    )
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    days = F.explode(F.array(*[F.lit(d) for d in DAYS])).alias("period")
+    daily = durable(
+        per_customer.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("c_nationkey")
+        .agg(F.sum("gdp").alias("gdp"), F.sum("pop").alias("pop"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    ).select(F.col("n_name").alias("region"), days, "gdp", "pop")
+    return [daily.select("region", "period", F.col(c).alias("value")) for c in ("gdp", "pop")]
+
+
+@query(f"""WITH {BY_NATION}
+SELECT region, type, driver_name, unit, period, ROUND(value_filled, 6) AS value, ROUND(weight_val, 2) AS weight FROM imputed""")
+def economy_indicator_panel(spark, sf_dir):
+    result = economy_indicators(
+        durable(nation_indicators(spark, sf_dir)),
+        indicator_mapping(spark),
+        ["__line"],
+        *nation_weights(spark, sf_dir),
+        region_map(spark, sf_dir),
+        all_nations(spark, sf_dir),
+        DAYS[4:25],
+        cut_lineage=True,
+    )
+    return rounded(rounded(result.data, places=6), "weight", places=2)

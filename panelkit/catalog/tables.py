@@ -132,7 +132,12 @@ PART_GROUPS = {
 
 
 def instruments_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts are joined first and rows summed per supplier before the next join."""
+    """Parts are joined first and rows summed per supplier before the next join.
+
+    Summing lines per part before the first join would shuffle nearly all of them
+    once more. A part with very many lines is left to the join's skew handling,
+    which splits its partition.
+    """
     part = table(spark, sf_dir, "part").select(
         "p_partkey", recode(F.col("p_type"), PART_GROUPS).alias("sector_group")
     )
