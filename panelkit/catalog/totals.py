@@ -76,7 +76,7 @@ def share_times_total(spark, sf_dir):
         .withColumn("value", F.col("value") / F.col("whole"))
         .drop("whole")
     )
-    return rounded(times_total(shares, total_by(po, ["period"]), ["period"]), places=0)
+    return rounded(times_total(shares, total_by(po, ["period"])), places=0)
 
 
 @query(f"""WITH {PO} SELECT period, ROUND(SUM(value), 4) AS value FROM po

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import sum_strict, sum_zero, weighted_mean
+from panelkit.operators.complete import one_row_per_period
 from panelkit.operators.joins import lookup
 from panelkit.operators.panel import Result, panel_keys
 
@@ -99,11 +100,12 @@ def fill_summary(df: DataFrame, label: str = "fill_type") -> DataFrame:
 
 
 def times_total(
-    df: DataFrame, totals: DataFrame, keys: list[str], value: str = "value"
+    df: DataFrame, totals: DataFrame, period: str = "period", value: str = "value"
 ) -> DataFrame:
-    """A share times the total of its key; without a total the result is NULL."""
+    """A share times the total of its period; without a total the result is NULL."""
+    short = one_row_per_period(totals.select(period, F.col(value).alias("__total")))
     return (
-        lookup(df, totals.select(*keys, F.col(value).alias("__total")), {k: k for k in keys})
+        lookup(df, short, {period: period})
         .withColumn(value, F.col(value) * F.col("__total"))
         .drop("__total")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import cells, member_of, sum_zero  # noqa: I001
-from panelkit.operators.complete import Axis, axis_array, on_axis
+from panelkit.operators.complete import Axis, axis_array, on_axis, one_row_per_period
 from panelkit.operators.joins import lookup
 
 
@@ -213,7 +213,7 @@ def allocate_group_total(
         period, F.try_divide(F.col(value), F.col("__base")).alias("__share")
     )
     return (
-        lookup(inside, share, {period: period})
+        lookup(inside, one_row_per_period(share), {period: period})
         .withColumn(value, F.coalesce(F.col(value) * F.col("__share"), F.lit(0.0)))
         .select(*base.columns)
     )

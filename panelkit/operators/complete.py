@@ -33,6 +33,20 @@ def axis_of(df: DataFrame, column: str) -> Column:
     return values.limit(MAX_AXIS + 1).agg(checked.alias("axis")).scalar()
 
 
+def one_row_per_period(df: DataFrame) -> DataFrame:
+    """A table with one row per period, such as yearly totals, known to be short.
+
+    The limit tells the planner the size, so the table is broadcast to the rows it is
+    joined to, and those need not be shuffled by period. It never drops a row: more
+    than ``MAX_AXIS`` rows are an error.
+    """
+    row = F.monotonically_increasing_id()  # the limit leaves one partition
+    fits = F.when(row < MAX_AXIS, True).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_AXIS} periods"))
+    )
+    return df.limit(MAX_AXIS + 1).withColumn("__fits", fits).filter("__fits").drop("__fits")
+
+
 def axis_array(axis: Axis) -> Column:
     if isinstance(axis, Column):
         return axis

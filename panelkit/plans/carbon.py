@@ -176,7 +176,7 @@ def covered_emissions_panel(board: Dashboard) -> DataFrame:
     """Share of global emissions times the global emissions of the year."""
     source, targets = board.tail
     totals = total_by(copy_year(board.history, source, targets), ["period"])
-    return times_total(emission_share_panel(board), totals, ["period"])
+    return times_total(emission_share_panel(board), totals)
 
 
 # --- country rules ----------------------------------------------------------
