@@ -112,7 +112,7 @@ def fold_all_group(spark, sf_dir):
   SELECT cov.region, cov.period, cov.bulk + everything * hg.bulk / (hg.bulk + hg.diffuse) AS bulk,
          cov.diffuse + everything * hg.diffuse / (hg.bulk + hg.diffuse) AS diffuse
   FROM cov JOIN hg ON hg.region = cov.region AND hg.period = cov.period)
-{LONG.format(places=2, source="s", bulk="bulk", diffuse="diffuse")}""")
+{LONG.format(places=2, source="s", bulk="bulk", diffuse="diffuse")}""", name="split_by_share")
 def split_all_by_share(spark, sf_dir):
     covered, hist = covered_and_history(spark, sf_dir)
     return rounded(split_by_share(covered, hist, CELL, "all", GROUPS), places=2)
@@ -132,7 +132,7 @@ def _tripled(spark, sf_dir):
 
 
 @query(f"""WITH {HG}, {PI}, {COVERED}, {MOVED}
-{LONG.format(places=2, source="moved", bulk="bulk", diffuse="diffuse")}""")
+{LONG.format(places=2, source="moved", bulk="bulk", diffuse="diffuse")}""", name="reallocate_excess")
 def reallocate_excess_groups(spark, sf_dir):
     out = reallocate_excess(*_tripled(spark, sf_dir), CELL, GROUPS)
     return rounded(out, places=2)

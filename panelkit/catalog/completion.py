@@ -55,12 +55,12 @@ def _filled(expr: str) -> str:
     return f"WITH {POINTS} SELECT region, category, period, ROUND({expr}, 6) AS value FROM points"
 
 
-@query(f"WITH {PE_GRID} SELECT region, category, period, ROUND(value, 6) AS value FROM grid")
+@query(f"WITH {PE_GRID} SELECT region, category, period, ROUND(value, 6) AS value FROM grid", name="complete_grid")
 def complete_grid_events(spark, sf_dir):
     return rounded(complete_grid(events_panel(spark, sf_dir), SERIES), places=6)
 
 
-@query(f"WITH {PE_GRID} SELECT region, category, period, ROUND(value, 6) AS value FROM grid")
+@query(f"WITH {PE_GRID} SELECT region, category, period, ROUND(value, 6) AS value FROM grid", name="complete_long_axis")
 def complete_long_axis_events(spark, sf_dir):
     return rounded(complete_long_axis(events_panel(spark, sf_dir), SERIES), places=6)
 
@@ -72,7 +72,7 @@ added AS (
   CROSS JOIN (SELECT DISTINCT region FROM few) r
   WHERE NOT EXISTS (SELECT 1 FROM few WHERE few.category = c.category AND few.region = r.region))
 SELECT region, category, period, ROUND(value, 6) AS value FROM few
-UNION ALL SELECT region, category, NULL, NULL FROM added""")
+UNION ALL SELECT region, category, NULL, NULL FROM added""", name="complete_within")
 def complete_within_subset(spark, sf_dir):
     few = events_panel(spark, sf_dir).filter("value > 100")
     return rounded(complete_within(few, "region", "category"), places=6)
@@ -81,7 +81,7 @@ def complete_within_subset(spark, sf_dir):
 @query(f"""WITH {PO}, big AS (SELECT * FROM po WHERE value >= 3000000)
 SELECT n_name AS region, k.period, k.category, ROUND(CASE WHEN big.region IS NULL THEN 0 ELSE big.value END, 4) AS value
 FROM (SELECT DISTINCT period, category FROM big) k CROSS JOIN nation
-LEFT JOIN big ON big.region = n_name AND big.period = k.period AND big.category = k.category""")
+LEFT JOIN big ON big.region = n_name AND big.period = k.period AND big.category = k.category""", name="fill_entities")
 def fill_entities_zero(spark, sf_dir):
     some = orders_panel(spark, sf_dir).filter("value >= 3000000")
     return rounded(fill_entities(some, all_nations(spark, sf_dir), fill=0.0), places=4)
@@ -130,18 +130,18 @@ def fill_locf_nocb(spark, sf_dir):
     return rounded(fill_gaps(grid, SERIES, parts=("forward", "backward")), places=6)
 
 
-@query(_filled(f"COALESCE(value, {LINE}, pv, nv)"))
+@query(_filled(f"COALESCE(value, {LINE}, pv, nv)"), name="fill_gaps")
 def fill_gaps_on_grid(spark, sf_dir):
     return rounded(fill_gaps(complete_grid(events_panel(spark, sf_dir), SERIES), SERIES), places=6)
 
 
-@query(_filled(f"COALESCE(value, {LINE}, pv, nv)"))
+@query(_filled(f"COALESCE(value, {LINE}, pv, nv)"), name="complete_and_fill")
 def complete_and_fill_events(spark, sf_dir):
     pe = events_panel(spark, sf_dir)
     return rounded(complete_and_fill(pe, SERIES, axis_of(pe, "period")), places=6)
 
 
-@query(_filled(f"COALESCE(value, {LINE}, pv, nv)"))
+@query(_filled(f"COALESCE(value, {LINE}, pv, nv)"), name="fill_gaps_chunked")
 def fill_gaps_in_chunks(spark, sf_dir):
     grid = complete_grid(events_panel(spark, sf_dir), SERIES)
     return rounded(fill_gaps_chunked(grid, SERIES, chunk=7), places=6)
@@ -198,7 +198,7 @@ points AS (
          down AS (PARTITION BY region, category ORDER BY period ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
 SELECT region, category, period,
        ROUND(COALESCE(value, pv + (nv - pv) * (period - pi) / (ni - pi), pv, nv), 4) AS value
-FROM points""")
+FROM points""", name="fill_years")
 def fill_years_to_list(spark, sf_dir):
     sparse = orders_panel(spark, sf_dir).filter(~F.col("period").isin(1997, 1998))
     return rounded(fill_years(sparse, range(1994, 2003)), places=4)

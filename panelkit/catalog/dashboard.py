@@ -167,12 +167,10 @@ def with_texts(ids, lines):
 
 
 def dashboard(spark, sf_dir, texts: bool = False, emissions: bool = True) -> Dashboard:
-    """The inputs; without ``emissions`` the history is declared but not computed."""
+    """The inputs; without ``emissions`` there is no history."""
     # the facts are read once each; the sheets are made from these sums
     lines = durable(instrument_lines(spark, sf_dir))
-    history = history_panel(spark, sf_dir)
-    if emissions:
-        history = durable(history)
+    history = durable(history_panel(spark, sf_dir)) if emissions else None
     of_bloc = F.col("unique_id") == K.BLOC_ID
     ids = instrument_ids(spark, sf_dir)
     regions = ids.select(
@@ -342,7 +340,7 @@ UNION ALL SELECT region, period, 'diffuse', ROUND({diffuse}, {places}) AS value{
 
 @query(f"""WITH {SHEET}
 SELECT unique_id, 'Initiative ' || unique_id AS instrument_name, region, region_type, type, status, sector_group,
-  CASE WHEN unique_id IN (SELECT unique_id FROM sheet) THEN income_group END AS income_group FROM inst""")
+  CASE WHEN unique_id IN (SELECT unique_id FROM sheet) THEN income_group END AS income_group FROM inst""", name="instrument_dim")
 def instrument_dimension(spark, sf_dir):
     return instrument_dim(dashboard(spark, sf_dir, emissions=False)).select(
         *["unique_id", "instrument_name", "region", "region_type"],
@@ -352,7 +350,7 @@ def instrument_dimension(spark, sf_dir):
 
 @query(f"""WITH {SHEET}
 SELECT i.unique_id, region, region_type, type, status, ROUND((t.n % 100 + 0.5) / 100, 8) AS emissions_coverage
-FROM inst i JOIN (SELECT unique_id, SUM(n) AS n FROM sheet GROUP BY 1) t ON t.unique_id = i.unique_id WHERE f <> 'R'""")
+FROM inst i JOIN (SELECT unique_id, SUM(n) AS n FROM sheet GROUP BY 1) t ON t.unique_id = i.unique_id WHERE f <> 'R'""", name="coverage_shares")
 def coverage_from_text(spark, sf_dir):
     return rounded(coverage_shares(dashboard(spark, sf_dir, texts=True, emissions=False)), "emissions_coverage")
 
@@ -360,19 +358,19 @@ def coverage_from_text(spark, sf_dir):
 @query(f"""WITH {SHEET}
 SELECT i.unique_id, region, region_type, raw_type AS type, raw_status AS status, sector_group,
        format('{{:,}}', CAST(t.qty AS BIGINT)) AS price_on_1_april_US, CAST(t.qty AS DOUBLE) AS price_on_1_april
-FROM inst i JOIN (SELECT unique_id, SUM(qty) AS qty FROM sheet GROUP BY 1) t ON t.unique_id = i.unique_id WHERE s <> 'O'""")
+FROM inst i JOIN (SELECT unique_id, SUM(qty) AS qty FROM sheet GROUP BY 1) t ON t.unique_id = i.unique_id WHERE s <> 'O'""", name="april_price")
 def april_price_from_text(spark, sf_dir):
     return rounded(april_prices(dashboard(spark, sf_dir, texts=True, emissions=False)), "price_on_1_april")
 
 
-@query(f"WITH {SHEET} SELECT {TAGS}, ROUND(value, 8) AS value FROM price")
+@query(f"WITH {SHEET} SELECT {TAGS}, ROUND(value, 8) AS value FROM price", name="price_panel")
 def price_by_instrument(spark, sf_dir):
     return rounded(price_panel(dashboard(spark, sf_dir, emissions=False)))
 
 
 @query(f"""WITH {SHEET}
 SELECT i.unique_id, region, region_type, type, status, sector_group, period, ROUND(ext, 4) AS value
-FROM sheet JOIN inst i ON i.unique_id = sheet.unique_id""")
+FROM sheet JOIN inst i ON i.unique_id = sheet.unique_id""", name="revenue_panel")
 def revenue_by_instrument(spark, sf_dir):
     return rounded(revenue_panel(dashboard(spark, sf_dir, emissions=False)), places=4)
 

@@ -249,7 +249,7 @@ def metadata_flags(spark, sf_dir):
 
 
 @query(f"""WITH {FILLED}
-SELECT region, type, driver, period, ROUND(value, 6) AS value, driver_name, unit, weight FROM filled""")
+SELECT region, type, driver, period, ROUND(value, 6) AS value, driver_name, unit, weight FROM filled""", name="zero_fill_flagged")
 def zero_fill_flagged_series(spark, sf_dir):
     mapping = indicator_mapping(spark)
     described = attach_metadata(_dense(spark, sf_dir), mapping, ["type", "driver"])
@@ -268,7 +268,7 @@ def attach_weight_choice(spark, sf_dir):
 
 @query(f"""WITH {WEIGHTED}
 SELECT RegionCode, driver, driver_name, unit, weight, period, ROUND(reg_avg, 8) AS reg_avg,
-       ROUND(reg_weight_sum, 2) AS reg_weight_sum FROM averages""")
+       ROUND(reg_weight_sum, 2) AS reg_weight_sum FROM averages""", name="regional_average")
 def regional_average_by_group(spark, sf_dir):
     out = regional_average(_weighted(spark, sf_dir))
     return rounded(rounded(out, "reg_avg"), "reg_weight_sum", places=2)
@@ -289,7 +289,7 @@ def impute_regional(spark, sf_dir):
 
 @query(f"""WITH {WEIGHTED}
 SELECT fill_type, COUNT(*) AS n, ROUND(100 * COUNT(*) / SUM(COUNT(*)) OVER (), 1) AS pct
-FROM imputed GROUP BY fill_type""")
+FROM imputed GROUP BY fill_type""", name="fill_summary")
 def fill_summary_by_type(spark, sf_dir):
     return fill_summary(_imputed(spark, sf_dir))
 

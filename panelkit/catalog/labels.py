@@ -36,7 +36,7 @@ UNITS = {
 }
 
 
-@query(f"WITH {PO} SELECT region, category, {_WIDE} FROM po GROUP BY region, category")
+@query(f"WITH {PO} SELECT region, category, {_WIDE} FROM po GROUP BY region, category", name="widen_years")
 def widen_years_columns(spark, sf_dir):
     wide = widen_years(orders_panel(spark, sf_dir), ["region", "category"], YEARS)
     return rounded(wide, *[str(y) for y in YEARS], places=4)
@@ -46,7 +46,7 @@ def widen_years_columns(spark, sf_dir):
 SELECT k.region, k.category, CAST(y.period AS INTEGER) AS period, ROUND(po.value, 4) AS value
 FROM (SELECT DISTINCT region, category FROM po) k
 CROSS JOIN (SELECT unnest([1995, 1996, 1997, 1998, 1999, 2000, 2001]) AS period) y
-LEFT JOIN po ON po.region = k.region AND po.category = k.category AND po.period = y.period""")
+LEFT JOIN po ON po.region = k.region AND po.category = k.category AND po.period = y.period""", name="melt_years")
 def melt_years_rows(spark, sf_dir):
     wide = widen_years(orders_panel(spark, sf_dir), ["region", "category"], YEARS)
     return rounded(melt_years(normalise_headers(wide)), places=4)
@@ -122,7 +122,7 @@ def relative_unit_flag(spark, sf_dir):
 
 @query(f"""WITH {PI}
 SELECT region, sector_group, period, ROUND(value, 8) AS value FROM pi
-WHERE type = 'ets' AND status = 'implemented'""")
+WHERE type = 'ets' AND status = 'implemented'""", name="drop_constant_columns")
 def drop_constant_columns_kept(spark, sf_dir):
     pi = instruments_panel(spark, sf_dir).filter(
         (F.col("type") == "ets") & (F.col("status") == "implemented")

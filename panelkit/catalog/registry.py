@@ -12,12 +12,16 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register a function under its own name together with its SQL."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function, under its own or the given name, together with its SQL.
+
+    A name is given where the function's own would hide the operator it shows.
+    """
 
     def register(fn: Query) -> Query:
-        _QUERIES[fn.__name__] = fn
-        _SQL[fn.__name__] = sql
+        key = name or fn.__name__
+        _QUERIES[key] = fn
+        _SQL[key] = sql
         return fn
 
     return register

@@ -138,7 +138,7 @@ def weighted_mean_region(spark, sf_dir):
 
 @query(f"""WITH {PO}, {CUSTOMERS}
 SELECT po.region, po.period, po.category, ROUND(po.value / cu.balance, 6) AS value
-FROM po JOIN cu ON cu.region = po.region AND cu.category = po.category""")
+FROM po JOIN cu ON cu.region = po.region AND cu.category = po.category""", name="ratio_per_capita")
 def ratio_to_balance(spark, sf_dir):
     balance = customers(spark, sf_dir).select(
         "region", "category", F.col("balance").alias("value")
@@ -175,7 +175,7 @@ def distinct_values(spark, sf_dir):
 @query("""
 SELECT p_brand AS brand, p_type AS type, p_size AS size, p_partkey AS line FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS rn FROM part)
-WHERE rn = 1""")
+WHERE rn = 1""", name="first_per_key")
 def first_row_per_key(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("brand"),

@@ -21,11 +21,7 @@ def year_columns(df: DataFrame, pattern: str | None = None, keep: list[int] | No
     def is_year(name: str) -> bool:
         if pattern is not None:
             return re.search(pattern, name) is not None
-        try:
-            float(name)
-        except ValueError:
-            return False
-        return True
+        return re.fullmatch(r"\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*", name) is not None
 
     names = [c for c in df.columns if is_year(c)]
     return names if keep is None else [c for c in names if int(float(c)) in set(keep)]

@@ -42,7 +42,8 @@ class Dashboard:
     """The input tables.
 
     ``info``, ``price``, ``revenue`` and ``emissions`` are sheets with normalised
-    headers, ``history`` is ``(region, period, variable, pollutant, value)``.
+    headers, ``history`` is ``(region, period, variable, pollutant, value)``. Only
+    covered emissions and what builds on them need the history.
     """
 
     info: DataFrame
@@ -51,7 +52,7 @@ class Dashboard:
     emissions: DataFrame
     region_map: DataFrame
     sector_map: DataFrame
-    history: DataFrame
+    history: DataFrame | None
     members: Axis = field(default_factory=lambda: list(K.BLOC_MEMBERS))
     bloc: str = K.BLOC_ID
     tail: tuple[int, list[int]] = (K.TAIL_SOURCE_YEAR, K.TAIL_YEARS)
