@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -28,21 +27,38 @@ def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder as Parquet and read it from there.
 
     For a small result that several later steps read: it is computed once, a lost
-    executor does not lose it, and its size is known to the planner. The folder is
-    the one the cluster names in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a temporary folder. Runs a job.
+    executor does not lose it, and its size is known to the planner. Runs a job. The files
+    lie under ``panelkit/<application id>``; :func:`clear` removes them.
     """
     spark = df.sparkSession
-    run = spark.sparkContext.applicationId
-    path = f"{checkpoint_folder(spark)}/panelkit/{run}/{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; an error if it names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return folder.rstrip("/")
+
+
+def with_folder(spark: SparkSession) -> SparkSession:
+    """Name a folder for a session on this machine that has none, as tests and trials do."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = os.path.join(tempfile.gettempdir(), f"panelkit-{os.getpid()}")
-    return folder.rstrip("/")
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelkit-"))
+    return spark
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what :func:`durable` wrote in this application; its DataFrames are then unusable."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_folder(spark)}/panelkit/{spark.sparkContext.applicationId}"
