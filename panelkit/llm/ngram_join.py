@@ -38,7 +38,7 @@ SEEN = 500_000  # classes a task remembers, to pass on each only once
 HOT = 20_000  # estimated documents of a prefix n-gram from which its rows are spread
 
 _U64 = np.uint64
-_DIGEST = "part int, doc_id bigint, cls bigint, size bigint, sig array<bigint>, counts binary"
+_DIGEST = "part int, doc_id bigint, cls bigint, size bigint, sig array<bigint>, brief array<bigint>, counts binary"
 _POSTING = "gram bigint, salt int, cls bigint, size bigint, pos bigint"
 _SET = "cls bigint, grams array<bigint>"
 
@@ -86,6 +86,13 @@ def _signature(grams: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
+def _folded(signature: np.ndarray, words: int = 4) -> np.ndarray:
+    """A signature folded to at most ``words`` words."""
+    if len(signature) <= words:
+        return signature
+    return np.bitwise_xor.reduce(signature.reshape(-1, words), axis=0)
+
+
 class _Once:
     """Which classes this task has passed on; forgets all when it is full."""
 
@@ -114,7 +121,7 @@ def _batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
 
 _DIGEST_ARROW = pa.schema(
     [("part", pa.int32()), ("doc_id", pa.int64()), ("cls", pa.int64()), ("size", pa.int64())]
-    + [("sig", pa.list_(pa.int64())), ("counts", pa.binary())]
+    + [("sig", pa.list_(pa.int64())), ("brief", pa.list_(pa.int64())), ("counts", pa.binary())]
 )
 _POSTING_ARROW = pa.schema(
     [("gram", pa.int64()), ("salt", pa.int32())] + [(c, pa.int64()) for c in ("cls", "size", "pos")]
@@ -148,11 +155,11 @@ def _add_up(batches):
 
 
 def _levels(parts: DataFrame, bits: int) -> np.ndarray:
-    """The added-up sketch, each counter as 8 * log2(1 + count) in a byte."""
+    """The added-up sketch, each counter as 8 * log2(1 + count) in a byte: 2 ** bits bytes in all."""
     summed = parts.select("part", "counts").repartition("part").mapInArrow(_add_up, "part int, counts binary")
     width = (1 << bits) // PARTS
     out = np.zeros(1 << bits, np.uint8)
-    for row in summed.toLocalIterator():
+    for row in summed.collect():
         out[row.part * width : (row.part + 1) * width] = np.frombuffer(row.counts, np.uint8)
     return out
 
@@ -176,13 +183,15 @@ def _digest(k: int, bits: int):
                 places = (np.concatenate(new) >> _U64(64 - bits)).astype(np.int64)
                 np.add.at(counts, places, np.uint32(1))
             n = len(sets)
+            signatures = [_signature(g) if len(g) else g for g in sets]
             yield _batch(
                 {
                     "part": pa.array([-1] * n, pa.int32()),
                     "doc_id": batch.column(0),
                     "cls": pa.array(classes, pa.int64()),
                     "size": pa.array([len(g) for g in sets], pa.int64()),
-                    "sig": _arrays([_signature(g) if len(g) else g for g in sets]),
+                    "sig": _arrays(signatures),
+                    "brief": _arrays([_folded(x) for x in signatures]),
                     "counts": pa.nulls(n, pa.binary()),
                 },
                 _DIGEST_ARROW,
@@ -198,6 +207,7 @@ def _digest(k: int, bits: int):
                     "cls": empty,
                     "size": empty,
                     "sig": pa.nulls(n, pa.list_(pa.int64())),
+                    "brief": pa.nulls(n, pa.list_(pa.int64())),
                     "counts": pa.array([b for _, b in rows], pa.binary()),
                 },
                 _DIGEST_ARROW,
@@ -297,7 +307,7 @@ def _sided(num: int, den: int):
 def _suffix(num: int, den: int) -> str:
     """The signatures of x and y differ in no more bits than similar sets can.
 
-    The wider signature (at most twice as wide) is folded first. With equal parity bits a
+    The wider signature (at most twice as wide, or cut down to the same width) is folded first. With equal parity bits a
     common n-gram cancels out, so differing bits are a lower bound of differing n-grams.
     """
     fold = "zip_with(slice({0}.sig, 1, size({0}.sig) div 2), slice({0}.sig, size({0}.sig) div 2 + 1, size({0}.sig) div 2), (p, q) -> p ^ q)"
@@ -350,23 +360,14 @@ def similar_groups(
     levels = sc.broadcast(_levels(digest.filter("part >= 0"), sketch_bits))
     rows = digest.filter("part < 0")
     found = texts.mapInArrow(_postings(words, sketch_bits, levels, num, den), _POSTING)
-    key = Window.partitionBy("gram", "salt")
-    found = (
-        found.withColumn("before", F.lag("cls").over(key.orderBy("cls")))
-        .withColumn("low", F.min("cls").over(key))
-        .withColumn("high", F.max("cls").over(key))
-        .filter("(before IS NULL OR before <> cls) AND (low <> high OR salt > 0)")
-        .select("gram", "cls", "size", "pos")
-    )
-    found = durable(found)
-
-    classes = rows.filter("size > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig"))
-    ends = found.select("cls").distinct()
-    signatures = durable(classes.join(ends, "cls", "left_semi").select("cls", "sig"))
+    found = durable(_repeated(found))
+    classes = rows.filter("size > 0").groupBy("cls")
+    classes = classes.agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig"), F.first("brief").alias("brief"))
+    classes = durable(classes)
+    signatures = classes.select("cls", "sig", "brief")
     filters, suffix = _sided(num, den), _suffix(num, den)
 
-    first = _leader_pairs(found, signatures, filters, suffix)
-    first = durable(first)
+    first = durable(_leader_pairs(found, signatures, filters, suffix))
     links = durable(_verify(texts, first, words, sketch_bits, num, den))
     roots = components(links)
     rest = durable(_rest_pairs(found, signatures, roots, first, filters, suffix))
@@ -395,10 +396,30 @@ def _with_signatures(pairs: DataFrame, signatures: DataFrame, suffix: str) -> Da
     return joined.filter(suffix).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
 
 
+def _repeated(found: DataFrame) -> DataFrame:
+    """Prefix entries of n-grams that several classes have, with the n-gram's leader ``top``.
+
+    Equal entries (of copies that different tasks met) become one. The entries of a frequent
+    n-gram are spread over several groups; all of them stay, and their leader is an aggregate.
+    """
+    key = Window.partitionBy("gram", "salt")
+    entry = F.struct("pos", "size", "cls")
+    found = (
+        found.withColumn("before", F.lag("cls").over(key.orderBy("cls")))
+        .withColumn("top", F.min(entry).over(key))
+        .withColumn("high", F.max("cls").over(key))
+        .withColumn("low", F.min("cls").over(key))
+        .filter("(before IS NULL OR before <> cls) AND (low <> high OR salt > 0)")
+        .select("gram", "salt", "cls", "size", "pos", "top")
+    )
+    return found
+
+
 def _leader_pairs(found, signatures, filters: str, suffix: str) -> DataFrame:
     """Each class with the leader of each of its prefix n-grams, smaller set first."""
-    leaders = found.groupBy("gram").agg(F.min(F.struct("pos", "size", "cls")).alias("top"))
-    both = found.join(leaders, "gram").filter("cls <> top.cls")
+    spread = found.filter("salt > 0").drop("top")
+    leaders = spread.groupBy("gram").agg(F.min(F.struct("pos", "size", "cls")).alias("top"))
+    both = found.filter("salt = 0").unionByName(spread.join(leaders, "gram")).filter("cls <> top.cls")
     one = F.struct("cls", "size", "pos")
     two = F.struct("top.cls", "top.size", "top.pos")
     ahead = F.expr("size < top.size OR size = top.size AND cls < top.cls")
@@ -410,13 +431,19 @@ def _leader_pairs(found, signatures, filters: str, suffix: str) -> DataFrame:
 
 
 def _rest_pairs(found, signatures, roots, done, filters: str, suffix: str) -> DataFrame:
-    """Pairs of different components that share a prefix n-gram and pass all filters."""
-    named = found.join(signatures, "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    """Pairs of different components that share a prefix n-gram and pass all filters.
+
+    N-grams whose entries are all of one component drop out before anything is paired.
+    """
+    named = found.drop("top").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.withColumn("root", F.coalesce("root", "cls"))
-    several = named.groupBy("gram").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-    several = several.filter("r0 <> r1").select("gram")
-    named = durable(named.join(several, "gram", "left_semi"))
+    key = Window.partitionBy("gram", "salt")
+    named = named.withColumn("r0", F.min("root").over(key)).withColumn("r1", F.max("root").over(key))
+    named = named.filter("r0 <> r1 OR salt > 0").drop("r0", "r1", "salt")
+    named = durable(named.join(signatures.select("cls", F.col("brief").alias("sig")), "cls"))
     on = f"x.gram = y.gram AND x.root <> y.root AND {filters} AND {suffix}"
-    pairs = named.alias("x").join(named.alias("y"), F.expr(on))
-    pairs = pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
+    pairs = named.alias("x").join(named.alias("y"), F.expr(on)).select(
+        F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.col("x.size").alias("size_a"), F.col("y.size").alias("size_b")
+    )
+    pairs = pairs.distinct().join(done, ["a", "b"], "left_anti")
+    return _with_signatures(pairs, signatures, suffix)
