@@ -235,7 +235,8 @@ def write_archives(
     listed = again.groupBy("path").agg(F.collect_list(F.struct("n", "holder")).alias("revisits"))
     work = records.select("path").distinct().join(listed, "path", "left")
     work = work.select("path", F.col("revisits.n").alias("n"), F.col("revisits.holder").alias("holder"))
-    done = durable(work.repartition("path").mapInArrow(_normaliser(folder), _FILES))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a given number is not coalesced
+    done = durable(work.repartition(parts, "path").mapInArrow(_normaliser(folder), _FILES))
     for info in place.get_file_info(fs.FileSelector(name)):
         if info.base_name.startswith("raw-"):
             place.delete_file(info.path)
@@ -248,5 +249,6 @@ def read_archives(files: DataFrame) -> DataFrame:
     Payload sizes and digests are checked against the payloads on the way.
     """
     python_ready(files.sparkSession)
-    spread = files.select("path", "index").repartition("path")
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = files.select("path", "index").repartition(parts, "path")
     return spread.mapInArrow(_reader, _PAGES)
