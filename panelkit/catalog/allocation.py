@@ -14,6 +14,7 @@ from panelkit.catalog.tables import (
     orders_panel,
 )
 from panelkit.functions import ratio_or_zero
+from panelkit.operators.complete import flag_on_axis
 from panelkit.operators.aggregate import sum_out
 from panelkit.operators.allocate import (
     allocate_group_total,
@@ -172,12 +173,8 @@ expanded AS (
 
 def with_bloc(spark, sf_dir):
     """The instruments and the bloc's own, in one pass: a member's permit counts for both."""
-    pi = instruments_panel(spark, sf_dir)
-    is_permit = (
-        (F.col("type") == "ets")
-        & (F.col("status") == "implemented")
-        & F.array_contains(bloc_members(spark, sf_dir), F.col("region"))
-    )
+    pi = flag_on_axis(instruments_panel(spark, sf_dir), "region", bloc_members(spark, sf_dir), "member")
+    is_permit = (F.col("type") == "ets") & (F.col("status") == "implemented") & F.col("member")
     ids = F.when(is_permit, F.array(F.lit("own"), F.lit("bloc"))).otherwise(F.array(F.lit("own")))
     of_bloc = F.col("unique_id") == "bloc"
     return durable(
@@ -223,15 +220,15 @@ def net_of_bloc(spark, sf_dir):
         & (F.col("sector_group") == "bulk")
         & (F.col("period") != 1999)
     )
-    inside = F.array_contains(bloc_members(spark, sf_dir), F.col("region"))
+    rows = flag_on_axis(rows, "region", bloc_members(spark, sf_dir), "member")
     implemented = (F.col("status") == "implemented") & (F.col("sector_group") == "bulk")
     out = net_of_group(
         rows,
-        own=inside & (F.col("type") == "carbon_tax") & implemented,
+        own=F.col("member") & (F.col("type") == "carbon_tax") & implemented,
         group=price,
         keys=CELL,
     )
-    return rounded(out)
+    return rounded(out.drop("member"))
 
 
 @query(f"""WITH {PO}, member AS (
@@ -239,7 +236,7 @@ def net_of_bloc(spark, sf_dir):
 base AS (SELECT region, period, SUM(value) AS value FROM po WHERE region IN (SELECT name FROM member) GROUP BY 1, 2),
 total AS (SELECT period, SUM(value) AS value FROM po WHERE category = 'MACHINERY' AND period <> 2000 GROUP BY 1),
 share AS (SELECT t.period, t.value / SUM(b.value) AS share FROM total t JOIN base b ON b.period = t.period GROUP BY t.period, t.value)
-SELECT base.region, base.period, ROUND(COALESCE(base.value * share.share, 0), 1) AS value
+SELECT base.region, base.period, ROUND(COALESCE(base.value * share.share, 0), 4) AS value
 FROM base LEFT JOIN share ON share.period = base.period""")
 def allocate_bloc_total(spark, sf_dir):
     po = orders_panel(spark, sf_dir)
@@ -249,7 +246,7 @@ def allocate_bloc_total(spark, sf_dir):
         .agg(F.sum("value").alias("value"))
     )
     out = allocate_group_total(totals, sum_out(po, ["category"]), bloc_members(spark, sf_dir))
-    return rounded(out, places=1)
+    return rounded(out, places=4)
 
 
 @query(f"""WITH {PO}

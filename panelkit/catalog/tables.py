@@ -6,9 +6,8 @@ with a large part of all rows adds one row per year to the join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from panelkit.functions import pick, recode
 from panelkit.operators.complete import axis_of
@@ -16,15 +15,8 @@ from panelkit.operators.complete import axis_of
 YEARS = list(range(1995, 2002))
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. Its schema is read from the file footer once per process."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,11 +34,11 @@ def region_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bloc_members(spark: SparkSession, sf_dir: str) -> Column:
+def bloc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return axis_of(nations(spark, sf_dir).filter(F.col("r_name") == "EUROPE"), "n_name")
 
 
-def all_nations(spark: SparkSession, sf_dir: str) -> Column:
+def all_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return axis_of(table(spark, sf_dir, "nation"), "n_name")
 
 

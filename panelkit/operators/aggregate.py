@@ -7,8 +7,8 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit import constants as K
 from panelkit.functions import sum_strict, sum_zero, weighted_mean
-from panelkit.operators.complete import one_row_per_period
 from panelkit.operators.joins import lookup
 from panelkit.operators.panel import Result, panel_keys
 
@@ -63,11 +63,14 @@ def aggregate_regions(
     mapping: DataFrame,
     country: str = "CountryCode",
     group: str = "RegionCode",
+    summed: Column | None = None,
 ) -> DataFrame:
     """Countries to region groups.
 
     With a ``weight`` column: weighted mean, and the sum of the weights as the new
-    weight. Without one: sum. Countries that are in no group are left out.
+    weight; where ``summed`` holds, the sum, without a weight. ``summed`` has to be the same in
+    all rows of a cell. Without a weight column: sum. Countries that are in no group
+    are left out.
     """
     members = mapping.select(F.col(country).alias("region"), F.col(group).alias("__group"))
     keys = [c for c in panel_keys(df) if c != "region"]
@@ -75,18 +78,26 @@ def aggregate_regions(
     value = F.col("value")
     if "weight" in df.columns:
         weight = F.col("weight")
-        measures = [
-            weighted_mean(value, weight).alias("value"),
-            F.coalesce(F.sum(F.when(value.isNotNull(), weight)), F.lit(0.0)).alias("weight"),
-        ]
+        mean = weighted_mean(value, weight)
+        total = F.coalesce(F.sum(F.when(value.isNotNull(), weight)), F.lit(0.0))
+        if summed is not None:
+            by_sum = F.bool_and(F.coalesce(summed, F.lit(False)))
+            mean = F.when(by_sum, sum_zero(value)).otherwise(mean)
+            total = F.when(by_sum, None).otherwise(total)
+        measures = [mean.alias("value"), total.alias("weight")]
     else:
         measures = [sum_zero(value).alias("value")]
     return joined.groupBy(F.col("__group").alias("region"), *keys).agg(*measures)
 
 
 def aggregate_result(result: Result, mapping: DataFrame) -> Result:
-    """A preparation's result per region group, by its weights or, without, as a sum."""
-    return replace(result, data=aggregate_regions(result.data, mapping))
+    """A preparation's result per region group, by its weights or, without, as a sum.
+
+    Variables that are summed by nature are summed, whatever weights the table has.
+    """
+    by_nature = "variable" in result.data.columns and "weight" in result.data.columns
+    summed = F.col("variable").isin(K.SUMMED_VARIABLES) if by_nature else None
+    return replace(result, data=aggregate_regions(result.data, mapping, summed=summed))
 
 
 def fill_summary(df: DataFrame, label: str = "fill_type") -> DataFrame:
@@ -103,9 +114,9 @@ def times_total(
     df: DataFrame, totals: DataFrame, period: str = "period", value: str = "value"
 ) -> DataFrame:
     """A share times the total of its period; without a total the result is NULL."""
-    short = one_row_per_period(totals.select(period, F.col(value).alias("__total")))
+    per_period = totals.select(period, F.col(value).alias("__total"))
     return (
-        lookup(df, short, {period: period})
+        lookup(df, per_period, {period: period})
         .withColumn(value, F.col(value) * F.col("__total"))
         .drop("__total")
     )

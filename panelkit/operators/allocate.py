@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import cells, member_of, sum_zero  # noqa: I001
-from panelkit.operators.complete import Axis, axis_array, on_axis, one_row_per_period
+from panelkit.operators.complete import Axis, expand, on_axis
 from panelkit.operators.joins import lookup
 
 
@@ -162,7 +162,7 @@ def expand_group(
 
     ``changes`` sets further columns of the copies. Repeated bloc rows count once.
     """
-    copies = df.filter(is_bloc).distinct().withColumn("region", F.explode(axis_array(members)))
+    copies = expand(df.filter(is_bloc).drop("region").distinct(), members, "region").select(*df.columns)
     copies = copies.withColumns(dict(changes or {}))
     return df.filter(keep).unionByName(copies.select(*df.columns))
 
@@ -213,7 +213,7 @@ def allocate_group_total(
         period, F.try_divide(F.col(value), F.col("__base")).alias("__share")
     )
     return (
-        lookup(inside, one_row_per_period(share), {period: period})
+        lookup(inside, share, {period: period})
         .withColumn(value, F.coalesce(F.col(value) * F.col("__share"), F.lit(0.0)))
         .select(*base.columns)
     )

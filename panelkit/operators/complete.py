@@ -1,63 +1,81 @@
 """Completing panels: missing years, missing entities, missing combinations.
 
-Grids are made by exploding an axis (an array of labels) on the distinct keys,
-so no cross join is planned and the grid is produced where the keys are.
+An axis is a list of labels or a table with one column, of any length. A grid joins the
+distinct keys to the axis on a chunk number: every key asks for each chunk of the axis once,
+and a chunk holds about a thousand labels. So no cross join is planned, no task makes the whole
+grid, and Spark broadcasts a short axis and shuffles a long one by chunk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelkit.functions import member_of
 from panelkit.operators.joins import null_safe_join
 
-MAX_AXIS = 100_000
+CHUNK = 1_000  # labels of an axis that one key asks for at a time
 
-Axis = Sequence | Column
+Axis = Sequence | DataFrame
 
 
-def axis_of(df: DataFrame, column: str) -> Column:
-    """The distinct non-NULL values of a column as one sorted array.
+def axis_of(df: DataFrame, column: str) -> DataFrame:
+    """The distinct non-NULL values of a column, as an axis."""
+    return df.select(column).filter(F.col(column).isNotNull()).distinct()
 
-    Meant for axes such as calendar years, days or countries. The values arrive
-    as a scalar subquery; more than ``MAX_AXIS`` of them is an error that points
-    to :func:`complete_long_axis`, which has no such limit.
-    """
-    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    checked = F.when(
-        F.count(F.lit(1)) <= MAX_AXIS, F.array_sort(F.collect_list(column))
-    ).otherwise(F.raise_error(F.lit(f"axis {column} is too long, use complete_long_axis")))
-    return values.limit(MAX_AXIS + 1).agg(checked.alias("axis")).scalar()
 
+def axis_table(spark: SparkSession, axis: Axis, name: str) -> DataFrame:
+    """An axis as a table with one column of the given name and no label twice."""
+    if isinstance(axis, DataFrame):
+        return axis.toDF(name).filter(F.col(name).isNotNull()).distinct()
+    labels = list(dict.fromkeys(axis))
+    number = all(isinstance(v, int) for v in labels) and labels
+    kind = T.IntegerType() if number else T.StringType()
+    return spark.createDataFrame([(v,) for v in labels], T.StructType([T.StructField(name, kind)]))
 
-def one_row_per_period(df: DataFrame) -> DataFrame:
-    """A table with one row per period, such as yearly totals, known to be short.
 
-    The limit tells the planner the size, so the table is broadcast to the rows it is
-    joined to, and those need not be shuffled by period. It never drops a row: more
-    than ``MAX_AXIS`` rows are an error.
-    """
-    row = F.monotonically_increasing_id()  # the limit leaves one partition
-    fits = F.when(row < MAX_AXIS, True).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_AXIS} periods"))
-    )
-    return df.limit(MAX_AXIS + 1).withColumn("__fits", fits).filter("__fits").drop("__fits")
+def on_axis(df: DataFrame, column: str, axis: Axis) -> DataFrame:
+    """Rows whose ``column`` lies on the axis."""
+    if not isinstance(axis, DataFrame):
+        return df.filter(F.col(column).isin(list(axis)))
+    listed = axis.toDF("__on_axis").distinct()
+    return df.join(listed, F.col(column) == F.col("__on_axis"), "left_semi")
 
 
-def axis_array(axis: Axis) -> Column:
-    if isinstance(axis, Column):
-        return axis
-    return F.array(*[F.lit(v) for v in axis])
+def flag_on_axis(df: DataFrame, column: str, axis: Axis, flag: str) -> DataFrame:
+    """Add whether ``column`` lies on the axis; false for NULL."""
+    if not isinstance(axis, DataFrame):
+        return df.withColumn(flag, member_of(F.col(column), list(axis)))
+    listed = axis.toDF("__on_axis").distinct()
+    joined = df.join(listed, F.col(column) == F.col("__on_axis"), "left")
+    return joined.withColumn(flag, F.col("__on_axis").isNotNull()).drop("__on_axis")
 
 
-def on_axis(df: DataFrame, column: str, axis: Axis) -> DataFrame:
-    """Rows whose ``column`` lies on the axis."""
-    if isinstance(axis, Column):
-        return df.filter(F.array_contains(axis, F.col(column)))
-    return df.filter(F.col(column).isin(list(axis)))
+def common_axis(spark: SparkSession, name: str, *axes: Axis) -> DataFrame:
+    """The labels that all axes have."""
+    tables = [axis_table(spark, a, name) for a in axes]
+    return reduce(lambda a, b: a.join(b, name, "left_semi"), tables)
+
+
+def expand(keys: DataFrame, axis: Axis, name: str) -> DataFrame:
+    """Each row of ``keys`` with each label of the axis, as column ``name``.
+
+    The keys are dealt out first, so a handful of them does not make one task's work.
+    """
+    spark = keys.sparkSession
+    labels = axis_table(spark, axis, name)
+    chunks = F.ceil(F.count(F.lit(1)) / CHUNK).cast("int")
+    count = labels.agg(F.greatest(chunks, F.lit(1)).alias("n")).scalar()
+    labels = labels.withColumn("__chunk", F.pmod(F.xxhash64(name), count).cast("int"))
+    if keys.columns:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        keys = keys.repartition(parts, *[F.col(f"`{c}`") for c in keys.columns])
+    asked = keys.withColumn("__chunk", F.explode(F.sequence(F.lit(0), count - 1)))
+    return asked.join(labels, "__chunk").drop("__chunk")
 
 
 def complete_grid(
@@ -71,21 +89,13 @@ def complete_grid(
     Without ``axis`` the periods are those of ``df``. Rows off the axis are dropped.
     """
     axis = axis_of(df, period) if axis is None else axis
-    grid = df.select(*keys).distinct().select("*", F.explode(axis_array(axis)).alias(period))
+    grid = expand(df.select(*keys).distinct(), axis, period)
     return null_safe_join(grid, df, [*keys, period], "left", not_null=[period]).select(*df.columns)
 
 
 def complete_long_axis(df: DataFrame, keys: list[str], period: str = "period") -> DataFrame:
-    """As :func:`complete_grid` for an integer period axis of any length.
-
-    Only the smallest and largest period are read ahead; the periods between
-    them that do not occur are removed by a semi-join.
-    """
-    low = df.agg(F.min(period)).scalar()
-    high = df.agg(F.max(period)).scalar()
-    grid = df.select(*keys).distinct().select("*", F.explode(F.sequence(low, high)).alias(period))
-    grid = grid.join(df.select(period).distinct(), period, "left_semi")
-    return null_safe_join(grid, df, [*keys, period], "left", not_null=[period]).select(*df.columns)
+    """:func:`complete_grid` on the periods of ``df``, which has no limit any more."""
+    return complete_grid(df, keys, None, period)
 
 
 def complete_within(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -93,17 +103,18 @@ def complete_within(df: DataFrame, a: str, b: str) -> DataFrame:
 
     The added rows are NULL in all other columns.
     """
-    grid = df.select(a).distinct().select(a, F.explode(axis_of(df, b)).alias(b))
     present = df.select(a, b).distinct()
+    grid = expand(df.select(a).distinct(), axis_of(df, b), b)
     absent = null_safe_join(grid, present, [a, b], "left_anti", not_null=[b])
-    return df.unionByName(absent, allowMissingColumns=True)
+    return df.unionByName(absent.select(a, b), allowMissingColumns=True)
 
 
 def grid_of(spark: SparkSession, **axes: Axis) -> DataFrame:
     """The grid of some given axes, one column per axis."""
-    out = spark.range(1).select()
-    for name, axis in axes.items():
-        out = out.select("*", F.explode(axis_array(axis)).alias(name))
+    (first, axis), *others = axes.items()
+    out = axis_table(spark, axis, first)
+    for name, axis in others:
+        out = expand(out, axis, name)
     return out
 
 
@@ -120,12 +131,13 @@ def fill_entities(
     removed.
     """
     others = [c for c in df.columns if c not in (entity, value)]
-    grid = df.select(*others).distinct().select("*", F.explode(axis_array(entities)).alias(entity))
+    grid = expand(df.select(*others).distinct(), entities, entity)
     return _fill_cells(df, grid, entities, fill, entity, value, others)
 
 
 def _fill_cells(df, grid, entities, fill, entity, value, others) -> DataFrame:
-    cells = on_axis(df, entity, entities).withColumn("__present", F.lit(True))
+    # the grid has listed entities only, so the others find no cell in it
+    cells = df.withColumn("__present", F.lit(True))
     out = null_safe_join(grid, cells, [*others, entity], "left", not_null=[entity])
     if fill is not None:
         out = out.withColumn(
@@ -173,13 +185,12 @@ def to_country_panel(
     """Exactly the official countries, each with every category in every year.
 
     Cells that were absent get ``fill``; with ``null_to_zero`` present cells without
-    a value become 0 first.
+    a value become 0 first. The categories and the years come from one aggregate of ``df``.
     """
     if null_to_zero:
         df = df.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
     categories = [c for c in df.columns if c not in (region, period, value)]
-    keys = df.select(*categories).distinct()
-    grid = keys.select("*", F.explode(axis_array(axis_of(df, period))).alias(period)).select(
-        "*", F.explode(axis_array(countries)).alias(region)
-    )
+    domain = df.select(*categories, period).distinct()
+    grid = expand(domain.select(*categories).distinct(), axis_of(domain, period), period)
+    grid = expand(grid, countries, region)
     return _fill_cells(df, grid, countries, fill, region, value, [*categories, period])

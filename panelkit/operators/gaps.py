@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.operators.complete import Axis, axis_array, axis_of, on_axis
+from panelkit.operators.complete import Axis, axis_of, axis_table, on_axis
 from panelkit.operators.joins import null_safe_join
 
 PARTS = ("linear", "forward", "backward")
@@ -148,15 +148,23 @@ def complete_and_fill(
     Same result as completing the grid and then filling it, but the grid is
     never joined: each known point emits the periods up to the next known one.
     Keys listed in ``series`` are present even if ``df`` has no row for them; they
-    cost one row each, not one per period. Rows are ``keys, period, value``; the
-    axis must be sorted.
+    cost one row each, not one per period. Rows are ``keys, period, value``.
+
+    Periods are numbered in a table of their own, which is joined; the window that
+    numbers them sees each period of the axis once.
     """
-    points = axis_array(axis)
-    w = Window.partitionBy(*keys).orderBy(F.col("__known").desc(), F.col(period))
-    cells = on_axis(df, period, axis).select(*keys, period, value)
+    points = axis_table(df.sparkSession, axis, "__axis").withColumn(
+        "__slot", F.row_number().over(Window.orderBy("__axis"))
+    )
+    last = points.agg(F.max("__slot").alias("n")).scalar()
+    w = Window.partitionBy(*keys).orderBy(F.col("__known").desc(), F.col("__slot"))
+    cells = df.join(points, F.col(period) == F.col("__axis")).select(*keys, period, "__slot", value)
     if series is not None:
         stand_ins = series.select(
-            *keys, points[0].alias(period), F.lit(None).cast("double").alias(value)
+            *keys,
+            F.lit(None).cast(df.schema[period].dataType).alias(period),
+            F.lit(1).alias("__slot"),
+            F.lit(None).cast("double").alias(value),
         )
         cells = cells.unionByName(stand_ins)
     sparse = (
@@ -164,19 +172,14 @@ def complete_and_fill(
         .withColumn("__rank", F.row_number().over(w))
         .withColumn("__next_v", F.lead(value).over(w))
         .withColumn("__next_p", F.lead(F.when(F.col("__known"), F.col(period))).over(w))
+        .withColumn("__next_slot", F.lead(F.when(F.col("__known"), F.col("__slot"))).over(w))
         # known points, or one row to stand for a series without any
         .filter(F.col("__known") | (F.col("__rank") == 1))
     )
-    slot = F.array_position(points, F.col(period)).cast("int")
-    next_slot = F.array_position(points, F.col("__next_p")).cast("int")
     low = F.when(F.col("__rank") == 1, F.lit(1)).otherwise(F.col("__slot"))
-    high = F.when(F.col("__next_p").isNull(), F.size(points)).otherwise(F.col("__next_slot") - 1)
-    out = (
-        sparse.withColumn("__slot", slot)
-        .withColumn("__next_slot", next_slot)
-        .withColumn("__at", F.explode(F.sequence(low, high)))
-        .withColumn("__at_p", F.element_at(points, F.col("__at")))
-    )
+    high = F.when(F.col("__next_p").isNull(), last).otherwise(F.col("__next_slot") - 1)
+    named = points.select(F.col("__slot").alias("__at"), F.col("__axis").alias("__at_p"))
+    out = sparse.withColumn("__at", F.explode(F.sequence(low, high))).join(named, "__at")
     if by == "position":
         here, start, stop = F.col("__at"), F.col("__slot"), F.col("__next_slot")
     else:
@@ -195,9 +198,9 @@ def fill_years(df: DataFrame, years: Axis, keys: list[str] | None = None) -> Dat
     """Bring every series to the listed years: linear between, constant outside."""
     if keys is None:
         keys = [c for c in df.columns if c not in ("period", "value")]
-    known = axis_array(years)
+    listed = axis_table(df.sparkSession, years, "period")
     # points off the list still shape the line between listed years
-    every = F.sort_array(F.array_union(known, axis_of(df, "period")))
+    every = listed.union(axis_of(df, "period"))
     filled = complete_and_fill(df, keys, every, by="period")
     return on_axis(filled, "period", years).select(*df.columns)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import nan_to_null, to_number
@@ -63,11 +63,16 @@ def melt_years(
 def widen_years(df: DataFrame, ids: list[str], years: list[int]) -> DataFrame:
     """Rows to one column per year, in one aggregation and so one shuffle.
 
-    The years are given, so no job looks for them.
+    The years are given, so no job looks for them. A year that a key has twice is an
+    error when the rows are made.
     """
-    return df.groupBy(*ids).agg(
-        *[F.max(F.when(F.col("period") == y, F.col("value"))).alias(str(y)) for y in years]
-    )
+
+    def one(year: int) -> Column:
+        here = F.col("period") == year
+        twice = F.raise_error(F.lit(f"a key has year {year} more than once"))
+        return F.when(F.count(F.when(here, 1)) > 1, twice).otherwise(F.max(F.when(here, F.col("value"))))
+
+    return df.groupBy(*ids).agg(*[one(y).alias(str(y)) for y in years])
 
 
 def align_columns(df: DataFrame, like: DataFrame) -> DataFrame:

@@ -20,13 +20,15 @@ from panelkit.operators.allocate import (
 from panelkit.operators.complete import (
     Axis,
     axis_of,
+    common_axis,
     copy_latest,
     copy_year,
+    flag_on_axis,
     grid_of,
     on_axis,
     to_country_panel,
 )
-from panelkit.operators.joins import combine, lookup
+from panelkit.operators.joins import combine, null_safe_join
 from panelkit.operators.panel import Result
 from panelkit.operators.reshape import melt_years
 from panelkit.session import durable
@@ -151,7 +153,7 @@ def price_panel(board: Dashboard) -> DataFrame:
 def _panel_by_name(sheet: DataFrame, name: str, board: Dashboard) -> DataFrame:
     long = melt_years(sheet, [name], drop_missing=True)
     ids = _labels(board).select("unique_id", "instrument_name")
-    named = lookup(long, ids, {name: "instrument_name"})
+    named = null_safe_join(long, ids.withColumnRenamed("instrument_name", name), [name])
     return _tagged(named, board).select(*TAGS, "period", "value")
 
 
@@ -187,14 +189,9 @@ def _is_country() -> Column:
     return F.col("region_type") == "country"
 
 
-def _bulk_rows(kind: str, members: Axis) -> Column:
-    inside = (
-        F.coalesce(F.array_contains(members, F.col("region")), F.lit(False))
-        if isinstance(members, Column)
-        else member_of(F.col("region"), members)
-    )
+def _bulk_rows(kind: str, inside: str) -> Column:
     return (
-        inside
+        F.col(inside)
         & _is_country()
         & (F.col("type") == kind)
         & (F.col("status") == "implemented")
@@ -208,12 +205,14 @@ def net_of_bloc(df: DataFrame, board: Dashboard) -> DataFrame:
     changes = {"region_type": F.lit("country")}
     expanded = expand_group(df, of_bloc, board.members, keep=_is_country(), changes=changes)
     copies = expand_group(df, of_bloc, board.members, keep=of_bloc & _is_country(), changes=changes)
+    flagged = flag_on_axis(expanded, "region", board.members, "__member")
+    copies = flag_on_axis(copies, "region", board.members, "__member")
     return net_of_group(
-        expanded,
-        own=_bulk_rows("carbon_tax", board.members),
-        group=copies.filter(_bulk_rows("ets", board.members)),
+        flagged,
+        own=_bulk_rows("carbon_tax", "__member"),
+        group=copies.filter(_bulk_rows("ets", "__member")).drop("__member"),
         keys=CELL,
-    )
+    ).drop("__member")
 
 
 def allocate_bloc(df: DataFrame, board: Dashboard) -> DataFrame:
@@ -315,7 +314,7 @@ def carbon_price(
     )
     if needs_price:
         price_rows = keep(read_dashboard(board, "price"))
-        years = F.array_intersect(axis_of(price_rows, "period"), years)
+        years = common_axis(spark, "period", years, axis_of(price_rows, "period"))
         price = spread_groups(
             on_axis(price_rows.filter(implemented), "region", countries),
             CELL,

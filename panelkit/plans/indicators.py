@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit import constants as K
-from panelkit.operators.complete import Axis, axis_array, axis_of, on_axis, to_country_panel
+from panelkit.operators.complete import Axis, axis_of, expand, on_axis, to_country_panel
 from panelkit.operators.gaps import complete_and_fill
 from panelkit.operators.impute import (
     attach_metadata,
@@ -32,7 +32,7 @@ def clean_indicators(raw: DataFrame, countries: Axis) -> DataFrame:
 def series_of(raw: DataFrame, countries: Axis) -> DataFrame:
     """The (region, type, driver) series that must exist: each indicator in each country."""
     indicators = raw.select("type", "driver").distinct()
-    return indicators.select(F.explode(axis_array(countries)).alias("region"), "type", "driver")
+    return expand(indicators, countries, "region")
 
 
 def filled_indicators(
@@ -41,16 +41,18 @@ def filled_indicators(
     mapping: DataFrame,
     mapping_order: list[str],
     years: Sequence[int] | None = None,
+    axis: Axis | None = None,
 ) -> DataFrame:
     """Gap-filled series with metadata, flagged indicators filled with 0.
 
     The years come first, so values outside them never shape a fill. Every series
-    gets every wanted year that occurs in the data at all; as the grid is dense,
+    gets every wanted year on ``axis``, by default those of ``raw``; as the grid is dense,
     completing driver and period afterwards would add nothing.
     """
     years = K.INDICATOR_YEARS if years is None else years
     within = raw.filter(F.col("period").isin(list(years)))
-    dense = complete_and_fill(within, SERIES, axis_of(within, "period"), series=series)
+    wanted = axis_of(within, "period") if axis is None else on_axis(axis, "period", list(years))
+    dense = complete_and_fill(within, SERIES, wanted, series=series)
     described = attach_metadata(dense, mapping, ["type", "driver"])
     return zero_fill_flagged(described, mapping, mapping_order)
 
@@ -85,9 +87,17 @@ def economy_indicators(
     years: Sequence[int] | None = None,
     cut_lineage: bool = False,
 ) -> Result:
-    """Indicator values and weights per (region, type, driver_name, unit, period)."""
+    """Indicator values and weights per (region, type, driver_name, unit, period).
+
+    The years are those of all regions in ``raw``, also of those not on the country list.
+    """
     filled = filled_indicators(
-        on_axis(raw, "region", countries), series_of(raw, countries), mapping, mapping_order, years
+        on_axis(raw, "region", countries),
+        series_of(raw, countries),
+        mapping,
+        mapping_order,
+        years,
+        axis_of(raw, "period"),
     )
     out = imputed_indicators(filled, gdp, population, groups, cut_lineage)
     return Result(

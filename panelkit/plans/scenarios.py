@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit import constants as K
-from panelkit.operators.complete import Axis, axis_array, axis_of, on_axis, to_country_panel
+from panelkit.operators.complete import Axis, axis_of, common_axis, on_axis, to_country_panel
 from panelkit.operators.joins import lookup, override_observed
 from panelkit.operators.panel import Result
 from panelkit.operators.reshape import melt_years, year_columns
@@ -85,9 +85,8 @@ def scenario_extensions(
     writes them to the checkpoint folder instead of computing them again.
     """
     sheet_years = [int(y) for y in year_columns(sheet, K.FOUR_DIGIT_YEAR)]
-    common = F.array_intersect(
-        axis_array(sheet_years),
-        F.array_intersect(axis_of(population, "period"), axis_of(gdp, "period")),
+    common = common_axis(
+        sheet.sparkSession, "period", sheet_years, axis_of(population, "period"), axis_of(gdp, "period")
     )
     data = on_axis(scenario_panel(sheet, names, require_value), "period", common)
     data = to_country_panel(durable(data) if cut_lineage else data, countries)

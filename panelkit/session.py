@@ -38,18 +38,22 @@ def durable(df: DataFrame) -> DataFrame:
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; an error if it names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    own = getattr(spark.sparkContext, "_panelkit_folder", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or own
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return folder.rstrip("/")
 
 
 def with_folder(spark: SparkSession) -> SparkSession:
-    """Name a folder for a session on this machine that has none, as tests and trials do."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelkit-"))
+    """Name a folder for a session on this machine that has none, as tests and trials do.
+
+    The setting itself cannot be changed in a running session, so it is noted beside it.
+    """
+    sc = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not hasattr(sc, "_panelkit_folder"):
+        if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+            sc._panelkit_folder = tempfile.mkdtemp(prefix="panelkit-")
     return spark
 
 

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -9,13 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from panelkit.session import local_session
+    from panelkit.session import local_session, with_folder
 
     session = local_session(os.environ.get("TEST_CPUS", "8"), "panelkit-tests")
     session.sparkContext.setLogLevel("ERROR")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelkit-tests-"))
-    return session
+    return with_folder(session)
 
 
 @pytest.fixture()
