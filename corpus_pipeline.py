@@ -32,14 +32,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id.
 
-    Of rows that share an id one stays. Rows without an id stay if no row of their group has
-    one.
+    Of rows that share an id one stays. Rows without an id cannot be told apart, so all of
+    them stay.
     """
     groups = ngram_join.similar_groups(docs)
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
+    kept = docs.join(first, docs["doc_id"] == first["first_id"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter(docs["doc_id"].isNull()))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
