@@ -111,8 +111,9 @@ class _Once:
 def _arrays(values: list[np.ndarray]) -> pa.ListArray:
     offsets = np.zeros(len(values) + 1, np.int32)
     np.cumsum([len(v) for v in values], out=offsets[1:])
-    joined = np.concatenate(values) if values else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(joined.view(np.int64)))
+    # one dtype: mixed signed and unsigned arrays would become floats
+    joined = np.concatenate([v.view(np.int64) for v in values]) if values else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(joined))
 
 
 def _batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
