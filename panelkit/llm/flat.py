@@ -40,7 +40,7 @@ def flatten(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
     """A batch in pieces of about ``limit`` bytes of ``column``; one longer text stays whole."""
     _, offsets = flatten(batch.column(batch.schema.get_field_index(column)))
     at, n = 0, batch.num_rows
