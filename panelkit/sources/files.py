@@ -27,8 +27,9 @@ _RESERVED = {
 def read_sheet(spark: SparkSession, path: str, skip: int = 0, sep: str = ",") -> DataFrame:
     """A sheet with ``skip`` lines above its header, all columns as text.
 
-    Headers are normalised. The lines above the data are removed by comparing
-    whole records with them, so the file can still be split and read in parallel.
+    Headers are normalised. The lines above the data are removed where they stand, at
+    the start of the file's first block, so the file can still be split and read in
+    parallel, and a data row that repeats such a line stays. A record is one line.
     """
     lines = [r.value for r in spark.read.text(path).head(skip + 1)]
     records = [next(csv.reader([line], delimiter=sep), []) for line in lines]
@@ -41,15 +42,19 @@ def read_sheet(spark: SparkSession, path: str, skip: int = 0, sep: str = ",") ->
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(path)
+        .select("*", F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row"))
     )
+    # the row number in its partition; the file's first block is the first of a partition
+    number = F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
+    top = (F.col("__block") == 0) & (number <= skip)
     for record in records:
         padded = (record + [""] * len(names))[: len(names)]
         same = reduce(
             lambda a, b: a & b,
             [F.coalesce(F.col(n), F.lit("")) == F.lit(v) for n, v in zip(names, padded)],
         )
-        rows = rows.filter(~same)
-    return normalise_headers(rows.toDF(*header))
+        rows = rows.filter(~(top & same))
+    return normalise_headers(rows.drop("__block", "__row").toDF(*header))
 
 
 def read_mapping(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:

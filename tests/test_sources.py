@@ -38,6 +38,13 @@ def test_read_sheet_skips_preamble(spark, tmp_path):
     assert [tuple(r) for r in only.collect()] == [("T2", 2021, 3.0)]
 
 
+def test_rows_equal_to_heading_lines_stay(spark, tmp_path):
+    path = tmp_path / "sheet.csv"
+    path.write_text(SHEET + "Updated,2025,,\nSome title,,,\n")
+    df = read_sheet(spark, str(path), skip=2)
+    assert sorted(r.unique_id for r in df.collect()) == ["Some title", "T1", "T2", "Updated"]
+
+
 def test_blank_mapping_cell_is_empty_text(spark, tmp_path):
     path = tmp_path / "map.csv"
     path.write_text("unique_id;sector_group;Status\nT1;bulk;x\nT2;;y\n")
