@@ -104,3 +104,12 @@ def test_constant_columns_and_summary(frame):
 def test_imputation_matches_null_group_keys(frame):
     df = rows(frame, None).withColumn("RegionCode", F.lit(None).cast("string"))
     assert imputed(df)["C"] == (8.75, "filled_scaled")
+
+
+def test_summed_rows_need_no_weight(frame):
+    """Where rows are summed by nature a missing weight does not make the total missing."""
+    schema = "region string, variable string, value double, weight double"
+    rows = [("A", "migration", 1.0, None), ("B", "migration", 2.0, None), ("A", "share", 10.0, 1.0), ("B", "share", 20.0, 3.0)]
+    mapping = frame("CountryCode string, RegionCode string", [("A", "G"), ("B", "G")])
+    got = aggregate_regions(frame(schema, rows), mapping, summed=F.col("variable") == "migration")
+    assert {r.variable: (r.value, r.weight) for r in got.collect()} == {"migration": (3.0, None), "share": (17.5, 4.0)}
