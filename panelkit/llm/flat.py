@@ -7,7 +7,9 @@ few bytes per byte of text plus a fixed amount per block.
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,22 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
         end = min(n, max(end, at + 1))
         yield batch.slice(at, end - at)
         at = end
+    give_back()
+
+
+def give_back() -> None:
+    """Free memory that Arrow and the C library keep goes back to the machine, where they can do so.
+
+    A worker serves many tasks and shares its executor's memory with the JVM.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+@functools.cache
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -134,30 +134,43 @@ _SET_ARROW = pa.schema([("cls", pa.int64()), ("grams", pa.list_(pa.int64()))])
 
 
 def _sketch_rows(counts: np.ndarray):
+    """Lists of up to 16 parts that are not all zero, each in the narrowest type that holds it."""
     width = len(counts) // PARTS
+    rows = []
     for i in range(PARTS):
         piece = counts[i * width : (i + 1) * width]
-        if piece.any():
-            yield i, piece.tobytes()
+        if top := piece.max():
+            rows.append((i, piece.astype(np.min_scalar_type(top)).tobytes()))
+            if len(rows) == 16:
+                yield rows
+                rows = []
+    if rows:
+        yield rows
 
 
-def _add_up(batches):
+def _add_up(bits: int):
     """Sums the sketches of a partition's parts; memory is at most one whole sketch."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-            piece = np.frombuffer(counts.as_buffer(), np.uint32).astype(np.uint64)
-            sums[part] = sums[part] + piece if part in sums else piece
-    if sums:
-        level = [np.minimum(8 * np.log2(1.0 + s), 255).astype(np.uint8).tobytes() for s in sums.values()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array(level, pa.binary())], ["part", "counts"]
-        )
+    width = (1 << bits) // PARTS
+
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = counts.as_buffer()
+                piece = np.frombuffer(data, f"u{len(data) // width}").astype(np.uint64)
+                sums[part] = sums[part] + piece if part in sums else piece
+        for part, total in sums.items():
+            level = np.minimum(8 * np.log2(1.0 + total), 255).astype(np.uint8).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([level], pa.binary())], ["part", "counts"]
+            )
+
+    return run
 
 
 def _levels(parts: DataFrame, bits: int) -> np.ndarray:
     """The added-up sketch, each counter as 8 * log2(1 + count) in a byte: 2 ** bits bytes in all."""
-    summed = parts.select("part", "counts").repartition("part").mapInArrow(_add_up, "part int, counts binary")
+    summed = parts.select("part", "counts").repartition("part").mapInArrow(_add_up(bits), "part int, counts binary")
     width = (1 << bits) // PARTS
     out = np.zeros(1 << bits, np.uint8)
     for row in summed.collect():
@@ -197,8 +210,7 @@ def _digest(k: int, bits: int):
                 },
                 _DIGEST_ARROW,
             )
-        rows = list(_sketch_rows(counts))
-        if rows:
+        for rows in _sketch_rows(counts):
             n = len(rows)
             empty = pa.nulls(n, pa.int64())
             yield _batch(
@@ -276,14 +288,14 @@ def _mark(classes: np.ndarray, bits: int) -> np.ndarray:
 
 def _marks(bits: int):
     def run(batches):
-        counts = np.zeros(1 << bits, np.uint32)
+        counts = np.zeros(1 << bits, np.uint8)
         for batch in batches:
             counts[_mark(batch.column(0).to_numpy(zero_copy_only=False), bits)] = 1
-        rows = list(_sketch_rows(counts))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([i for i, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())],
-            ["part", "counts"],
-        )
+        for rows in _sketch_rows(counts):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i for i, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())],
+                ["part", "counts"],
+            )
 
     return run
 
