@@ -5,11 +5,12 @@ import re
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from panelkit.llm import chain, flat, pretokens
+from panelkit.llm import chain, flat, ngram_join, pretokens
 from panelkit.llm.ngram_join import _folded, _signature, gram_sets
 from panelkit.llm.vocabulary import PATTERN
 
@@ -78,3 +79,24 @@ def test_marginals_against_enumeration():
         moves += pairs / total
         at += n
     assert np.allclose(moved, moves, atol=1e-5) and np.isclose(started.sum(), 3)
+
+
+@pytest.mark.parametrize("top", [0, 1, 255, 256, 65_535, 65_536, 3_000_000_000])
+def test_sketches_add_up_in_any_width(top):
+    bits = 12
+    rng = np.random.default_rng(top)
+    tables = [rng.integers(0, top, 1 << bits, np.uint32, endpoint=True) for _ in range(3)]
+    tables[1][: 1 << (bits - 1)] = 0
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], ["part", "counts"])
+        for table in tables
+        for rows in ngram_join._sketch_rows(table)
+    ]
+    assert all(b.num_rows <= 16 for b in batches)
+    width = (1 << bits) // ngram_join.PARTS
+    found = np.zeros(1 << bits, np.uint8)
+    for batch in ngram_join._add_up(bits)(batches):
+        for part, level in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found[part * width : (part + 1) * width] = np.frombuffer(level, np.uint8)
+    total = np.sum([t.astype(np.uint64) for t in tables], axis=0)
+    assert (found == np.minimum(8 * np.log2(1.0 + total), 255).astype(np.uint8)).all()
