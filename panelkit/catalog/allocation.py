@@ -47,13 +47,14 @@ HG = f"""{H}, hg AS (
          COALESCE(SUM(CASE WHEN grp = 'bunkers' THEN value END), 0) AS bunkers
   FROM (SELECT *, CASE {SQL_GROUPS} END AS grp FROM hist) t GROUP BY 1, 2)"""
 
-# covered emissions: part of the historical ones, by instrument panel percent
+# covered emissions: part of the historical ones, by percent of all instruments; those of no group cover all
 COVERED = """cov AS (
   SELECT h.region, h.period,
-         COALESCE(SUM(CASE WHEN sector_group = 'all' THEN value END), 0) * 0.0617283945 * (bulk + diffuse) AS everything,
-         COALESCE(SUM(CASE WHEN sector_group = 'bulk' THEN value END), 0) * 0.0823045267 * bulk AS bulk,
-         COALESCE(SUM(CASE WHEN sector_group = 'diffuse' THEN value END), 0) * 0.0102880658 * diffuse AS diffuse
-  FROM hg h JOIN pi ON pi.region = h.region AND pi.period = h.period AND pi.type = 'ets' AND pi.status = 'implemented'
+         COALESCE(SUM(CASE WHEN sector_group IN ('bulk', 'diffuse') THEN NULL ELSE value END), 0)
+           * 0.0051440329 * (bulk + diffuse) AS everything,
+         COALESCE(SUM(CASE WHEN sector_group = 'bulk' THEN value END), 0) * 0.0137174211 * bulk AS bulk,
+         COALESCE(SUM(CASE WHEN sector_group = 'diffuse' THEN value END), 0) * 0.0017146776 * diffuse AS diffuse
+  FROM hg h JOIN pi ON pi.region = h.region AND pi.period = h.period
   GROUP BY h.region, h.period, h.bulk, h.diffuse)"""
 
 LONG = """SELECT region, period, 'bulk' AS sector_group, ROUND({bulk}, {places}) AS value FROM {source}
@@ -68,15 +69,14 @@ def covered_and_history(spark, sf_dir):
     """Covered emissions and, as a table of its own, the history they are part of."""
     history = durable(history_groups(spark, sf_dir))
     hist = spread_groups(history, CELL, GROUPS)
-    percent = instruments_panel(spark, sf_dir).filter(
-        (F.col("type") == "ets")
-        & (F.col("status") == "implemented")
-        & F.col("sector_group").isin("all", *GROUPS)
+    group = F.col("sector_group")
+    percent = instruments_panel(spark, sf_dir).withColumn(
+        "sector_group", F.when(group.isin(*GROUPS), group).otherwise("all")
     )
     base = (
-        F.when(F.col("sector_group") == "all", 0.0617283945 * (F.col("bulk") + F.col("diffuse")))
-        .when(F.col("sector_group") == "bulk", 0.0823045267 * F.col("bulk"))
-        .otherwise(0.0102880658 * F.col("diffuse"))
+        F.when(group == "all", 0.0051440329 * (F.col("bulk") + F.col("diffuse")))
+        .when(group == "bulk", 0.0137174211 * F.col("bulk"))
+        .otherwise(0.0017146776 * F.col("diffuse"))
     )
     covered = percent.join(hist, CELL).select(
         *CELL, "sector_group", (F.col("value") * base).alias("value")

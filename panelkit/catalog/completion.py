@@ -7,7 +7,6 @@ from panelkit.catalog.tables import (
     PE,
     PE_GRID,
     PO,
-    all_nations,
     day_of,
     events_panel,
     orders_panel,
@@ -65,26 +64,25 @@ def complete_long_axis_events(spark, sf_dir):
     return rounded(complete_long_axis(events_panel(spark, sf_dir), SERIES), places=6)
 
 
-@query(f"""WITH {PE}, few AS (
-  SELECT region, SUM(value) AS value, category, period FROM pe WHERE value > 100 GROUP BY region, category, period),
-added AS (
-  SELECT c.category, r.region FROM (SELECT DISTINCT category FROM few) c
-  CROSS JOIN (SELECT DISTINCT region FROM few) r
-  WHERE NOT EXISTS (SELECT 1 FROM few WHERE few.category = c.category AND few.region = r.region))
-SELECT region, category, period, ROUND(value, 6) AS value FROM few
+@query(f"""WITH {PE}, added AS (
+  SELECT c.category, r.region FROM (SELECT DISTINCT category FROM pe) c
+  CROSS JOIN (SELECT DISTINCT region FROM pe) r
+  WHERE NOT EXISTS (SELECT 1 FROM pe WHERE pe.category = c.category AND pe.region = r.region))
+SELECT region, category, period, ROUND(value, 6) AS value FROM pe
 UNION ALL SELECT region, category, NULL, NULL FROM added""", name="complete_within")
-def complete_within_subset(spark, sf_dir):
-    few = events_panel(spark, sf_dir).filter("value > 100")
-    return rounded(complete_within(few, "region", "category"), places=6)
+def complete_within_events(spark, sf_dir):
+    return rounded(complete_within(events_panel(spark, sf_dir), "region", "category"), places=6)
 
 
-@query(f"""WITH {PO}, big AS (SELECT * FROM po WHERE value >= 3000000)
-SELECT n_name AS region, k.period, k.category, ROUND(CASE WHEN big.region IS NULL THEN 0 ELSE big.value END, 4) AS value
-FROM (SELECT DISTINCT period, category FROM big) k CROSS JOIN nation
-LEFT JOIN big ON big.region = n_name AND big.period = k.period AND big.category = k.category""", name="fill_entities")
+@query(f"""WITH {PE}
+SELECT CAST(c_custkey AS VARCHAR) AS region, k.period, k.category,
+       ROUND(CASE WHEN pe.region IS NULL THEN 0 ELSE pe.value END, 6) AS value
+FROM (SELECT DISTINCT period, category FROM pe) k CROSS JOIN customer
+LEFT JOIN pe ON pe.region = CAST(c_custkey AS VARCHAR) AND pe.period = k.period AND pe.category = k.category""", name="fill_entities")
 def fill_entities_zero(spark, sf_dir):
-    some = orders_panel(spark, sf_dir).filter("value >= 3000000")
-    return rounded(fill_entities(some, all_nations(spark, sf_dir), fill=0.0), places=4)
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("region"))
+    listed = axis_of(customer, "region")
+    return rounded(fill_entities(events_panel(spark, sf_dir), listed, fill=0.0), places=6)
 
 
 @query(f"""WITH {PO}, big AS (SELECT region, period, category, CASE WHEN value >= 3000000 THEN value END AS value FROM po)

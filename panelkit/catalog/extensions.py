@@ -9,7 +9,7 @@ from panelkit.functions import member_of, recode
 from panelkit.operators.complete import axis_of
 from panelkit.operators.joins import lookup, override_observed, override_with
 from panelkit.operators.reshape import widen_years
-from panelkit.plans.scenarios import clean_scenarios, scenario_extensions, weight_by_variable
+from panelkit.plans.scenarios import clean_scenarios, scenario_extensions, unmatched_names, weight_by_variable
 from panelkit.session import durable
 
 PRIORITY_SCENARIO = {
@@ -153,9 +153,9 @@ _OUT = "SELECT region, scenario, variable, period, ROUND(value, 4) AS value FROM
 _MATCH = ["Region", "Variable", "period"]
 
 
-def _lower(df):
+def _lower(df, *region):
     return df.select(
-        F.col("Region").alias("region"),
+        *(region or [F.col("Region").alias("region")]),
         F.col("Scenario").alias("scenario"),
         F.col("Variable").alias("variable"),
         "period",
@@ -183,24 +183,33 @@ def observed_override_with_value(spark, sf_dir):
     return _lower(out)
 
 
-@query(f"""WITH {ROWS}, base AS (SELECT * FROM clean WHERE scenario = 'SSP1'),
-overlay AS (SELECT * FROM clean WHERE scenario = 'SSP2' AND value > 300000)
+@query(f"""WITH {ROWS}, base AS (SELECT * FROM clean WHERE scenario <> 'SSP2'),
+overlay AS (SELECT * FROM clean WHERE scenario = 'SSP2' AND value IS NOT NULL)
 {_OUT} overlay UNION ALL {_OUT} base WHERE NOT EXISTS (
   SELECT 1 FROM overlay o WHERE o.region = base.region AND o.variable = base.variable AND o.period = base.period)""")
 def override_one_scenario(spark, sf_dir):
     clean = clean_scenarios(scenario_sheet(spark, sf_dir))
-    base = clean.filter(F.col("Scenario") == "SSP1")
-    overlay = clean.filter((F.col("Scenario") == "SSP2") & (F.col("value") > 300000))
-    return _lower(override_with(base, overlay, _MATCH))
+    base = clean.filter(F.col("Scenario") != "SSP2")
+    overlay = clean.filter(F.col("Scenario") == "SSP2")
+    return _lower(override_with(base, overlay, _MATCH, require_value=True))
 
 
 @query(f"""WITH {ROWS}
 SELECT CASE WHEN c.region = 'NATION_23' THEN NULL ELSE 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS code,
-       COUNT(*) AS n FROM clean c JOIN nation ON n_name = c.region GROUP BY 1""")
+       scenario, variable, period, ROUND(value, 4) AS value
+FROM clean c JOIN nation ON n_name = c.region""")
 def name_to_code(spark, sf_dir):
     clean = clean_scenarios(scenario_sheet(spark, sf_dir))
     coded = lookup(clean, country_names(spark, sf_dir), {"Region": "name"})
-    return coded.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    return _lower(coded, F.col("code"))
+
+
+@query(f"""WITH {ROWS}
+SELECT region AS name, COUNT(*) AS n FROM clean
+WHERE region NOT IN (SELECT n_name FROM nation WHERE n_name <> 'NATION_23') GROUP BY 1""", name="unmatched_names")
+def unmatched_country_names(spark, sf_dir):
+    clean = clean_scenarios(scenario_sheet(spark, sf_dir))
+    return unmatched_names(clean, country_names(spark, sf_dir))
 
 
 WEIGHTS = f"""w AS (
@@ -209,8 +218,9 @@ WEIGHTS = f"""w AS (
          CASE WHEN year(o_orderdate) >= 1996 THEN CAST(COUNT(*) AS DOUBLE) END AS pop
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, year(o_orderdate)),
 coded AS (
-  SELECT 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS region, scenario, variable, period, value
-  FROM merged JOIN nation ON n_name = merged.region WHERE n_name <> 'NATION_23')"""
+  SELECT CASE WHEN n_name <> 'NATION_23' THEN 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS region,
+         scenario, variable, period, value
+  FROM merged JOIN nation ON n_name = merged.region)"""
 CLASS = """CASE WHEN variable IN ('GDP|PPP [Conflict-Adjusted Projections]', 'Net Migration', 'Population|Extreme Poverty') THEN NULL
             WHEN variable IN ('Value Added|Agriculture [Share]', 'Value Added|Industry [Share]', 'Value Added|Services [Share]') THEN w.gdp
             ELSE w.pop END"""
@@ -222,9 +232,9 @@ FROM coded c LEFT JOIN w ON w.region = c.region AND w.scenario = c.scenario AND
 def weight_classes(spark, sf_dir):
     clean = clean_scenarios(scenario_sheet(spark, sf_dir))
     merged = _lower(override_observed(clean, "Scenario", K.OBSERVED, K.SCENARIOS, _MATCH))
-    coded = merged.join(
-        country_names(spark, sf_dir).withColumnRenamed("name", "region"), "region"
-    ).select(F.col("code").alias("region"), "scenario", "variable", "period", "value")
+    coded = lookup(merged, country_names(spark, sf_dir), {"region": "name"}).select(
+        F.col("code").alias("region"), "scenario", "variable", "period", "value"
+    )
     pop, gdp = scenario_weights(spark, sf_dir)
     return rounded(weight_by_variable(coded, pop, gdp), "weight", places=4)
 

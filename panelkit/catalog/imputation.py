@@ -11,7 +11,6 @@ from panelkit.operators.impute import (
     attach_metadata,
     attach_weight,
     regional_average,
-    weight_table,
     zero_fill_flagged,
 )
 from panelkit.operators.joins import lookup
@@ -92,20 +91,14 @@ def all_series(raw):
     return raw.select("region").distinct().select("region", indicators)
 
 
-def daily_weights(spark, sf_dir):
-    """GDP and population of a customer on every day: value of all and of final orders."""
-    per_customer = (
+def customer_weights(spark, sf_dir):
+    """GDP and population of a customer: value of all and of final orders, the same on every day."""
+    final = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))
+    return (
         table(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").cast("string").alias("region"))
-        .agg(
-            F.sum("o_totalprice").alias("gdp"),
-            F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("pop"),
-        )
-        .withColumn("period", F.explode(F.array(*[F.lit(d) for d in DAYS])))
+        .agg(F.sum("o_totalprice").alias("gdp"), F.sum(final).alias("pop"))
     )
-    gdp = per_customer.select("region", "period", F.col("gdp").alias("value"))
-    pop = per_customer.filter("pop IS NOT NULL").select("region", "period", F.col("pop").alias("value"))
-    return gdp, pop
 
 
 def customer_groups(spark, sf_dir):
@@ -200,15 +193,16 @@ groups AS (
   FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_acctbal >= 0),
 {IMPUTED}"""
 
-# per nation; only cells with enough value are kept, so that some series are empty
+# per nation; cells with little value count as missing, so that some series are empty
 BY_NATION = f"""raw AS (
   SELECT n_name AS region, CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS type, event_type AS driver,
-         CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS period, SUM(value) AS value
+         CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS period,
+         CASE WHEN SUM(value) > 200 THEN SUM(value) END AS value
   FROM events JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey
-  GROUP BY 1, 2, 3, 4 HAVING SUM(value) > 200),
+  GROUP BY 1, 2, 3, 4),
 entities AS (SELECT n_name AS region FROM nation),
 indicators AS (SELECT DISTINCT type, driver FROM raw),
-periods AS (SELECT DISTINCT period FROM raw WHERE period BETWEEN {DAYS[4]} AND {DAYS[24]}),
+periods AS (SELECT DISTINCT period FROM raw WHERE period BETWEEN {DAYS[0]} AND {DAYS[-1]}),
 {DESCRIBED},
 weights AS (
   SELECT n_name AS region, SUM(o_totalprice) AS gdp, SUM(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS pop
@@ -228,14 +222,14 @@ def _filled(spark, sf_dir):
 
 
 def _weighted(spark, sf_dir):
-    weighted = attach_weight(_filled(spark, sf_dir), weight_table(*daily_weights(spark, sf_dir)))
+    weighted = attach_weight(_filled(spark, sf_dir), customer_weights(spark, sf_dir))
     return lookup(weighted, customer_groups(spark, sf_dir), {"region": "CountryCode"})
 
 
 def _imputed(spark, sf_dir):
     return imputed_indicators(
         _filled(spark, sf_dir),
-        *daily_weights(spark, sf_dir),
+        customer_weights(spark, sf_dir),
         customer_groups(spark, sf_dir),
         cut_lineage=True,
     )
@@ -303,7 +297,7 @@ def nation_indicators(spark, sf_dir):
         per_user.join(customer, F.col("user").cast("bigint") == F.col("c_custkey"))
         .groupBy("c_nationkey", "type", "driver", "period")
         .agg(F.sum("value").alias("value"))
-        .filter("value > 200")
+        .withColumn("value", F.when(F.col("value") > 200, F.col("value")))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.col("n_name").alias("region"), "type", "driver", "period", "value")
     )
@@ -319,14 +313,13 @@ def nation_weights(spark, sf_dir):
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    days = F.explode(F.array(*[F.lit(d) for d in DAYS])).alias("period")
-    daily = durable(
+    return (
         per_customer.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey")
         .agg(F.sum("gdp").alias("gdp"), F.sum("pop").alias("pop"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    ).select(F.col("n_name").alias("region"), days, "gdp", "pop")
-    return [daily.select("region", "period", F.col(c).alias("value")) for c in ("gdp", "pop")]
+        .select(F.col("n_name").alias("region"), "gdp", "pop")
+    )
 
 
 @query(f"""WITH {BY_NATION}
@@ -336,10 +329,10 @@ def economy_indicator_panel(spark, sf_dir):
         durable(nation_indicators(spark, sf_dir)),
         indicator_mapping(spark),
         ["__line"],
-        *nation_weights(spark, sf_dir),
+        nation_weights(spark, sf_dir),
         region_map(spark, sf_dir),
         all_nations(spark, sf_dir),
-        DAYS[4:25],
+        DAYS,
         cut_lineage=True,
     )
     return rounded(rounded(result.data, places=6), "weight", places=2)

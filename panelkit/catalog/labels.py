@@ -14,7 +14,7 @@ from panelkit.catalog.tables import (
     sql_case,
     table,
 )
-from panelkit.functions import extract_groups, is_relative_unit, member_of, recode
+from panelkit.functions import extract_groups, is_relative_unit, recode
 from panelkit.operators.panel import duplicate_keys
 from panelkit.operators.reshape import (
     align_columns,
@@ -78,14 +78,13 @@ SELECT CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN '5-LOW (
             WHEN o_orderpriority = '1-URGENT' THEN '1-TOP'
             ELSE o_orderpriority END AS label,
        o_orderstatus AS status, COUNT(*) AS n
-FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED' GROUP BY 1, 2""")
+FROM orders GROUP BY 1, 2""")
 def relabel_when(spark, sf_dir):
     label = F.when(
         (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"), "5-LOW (pending)"
     ).otherwise(F.col("o_orderpriority"))
     orders = (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderpriority") != "4-NOT SPECIFIED")
         .withColumn("label", label)
         .replace({"1-URGENT": "1-TOP"}, subset=["label"])
     )
@@ -133,24 +132,22 @@ def drop_constant_columns_kept(spark, sf_dir):
 @query(f"""
 SELECT p_brand AS brand, group_name AS "group", COUNT(*) AS n
 FROM (SELECT p_brand, {sql_case("p_type", PART_GROUPS)} AS group_name FROM part) t
-WHERE group_name IN ('bulk', 'diffuse') GROUP BY 1, 2 HAVING COUNT(*) > 1""")
+GROUP BY 1, 2 HAVING COUNT(*) > 1""")
 def duplicate_panel_keys(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("brand"), recode(F.col("p_type"), PART_GROUPS).alias("group")
     )
-    kept = part.filter(member_of(F.col("group"), ["bulk", "diffuse"]))
-    return duplicate_keys(kept, ["brand", "group"])
+    return duplicate_keys(part, ["brand", "group"])
 
 
 @query(f"""
 SELECT {sql_case("l_returnflag", FLAG_TYPES)} AS type, l_linestatus AS status, COUNT(*) AS n
-FROM lineitem WHERE l_quantity > 10 GROUP BY 1, 2
+FROM lineitem GROUP BY 1, 2
 UNION ALL
 SELECT NULL, o_orderstatus, COUNT(*) FROM orders GROUP BY o_orderstatus""")
 def union_by_name(spark, sf_dir):
     lines = (
         table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_quantity") > 10)
         .groupBy(
             recode(F.col("l_returnflag"), FLAG_TYPES).alias("type"),
             F.col("l_linestatus").alias("status"),

@@ -52,8 +52,12 @@ def weight_table(gdp: DataFrame, population: DataFrame) -> DataFrame:
 
 
 def attach_weight(df: DataFrame, weights: DataFrame) -> DataFrame:
-    """Weight name per indicator and, as ``weight_val``, its value for the row."""
-    joined = df.join(weights.select("region", "period", "gdp", "pop"), ["region", "period"], "left")
+    """Weight name per indicator and, as ``weight_val``, its value for the row.
+
+    ``weights`` has ``region, gdp, pop`` and, if they vary in time, ``period``.
+    """
+    keys = [k for k in ("region", "period") if k in weights.columns]
+    joined = df.join(weights.select(*keys, "gdp", "pop"), keys, "left")
     return (
         joined.withColumn("weight", weight_choice(F.col("weight")))
         .withColumn(

@@ -14,7 +14,6 @@ from panelkit.operators.impute import (
     attach_metadata,
     attach_weight,
     impute,
-    weight_table,
     zero_fill_flagged,
 )
 from panelkit.operators.joins import lookup
@@ -59,17 +58,17 @@ def filled_indicators(
 
 def imputed_indicators(
     filled: DataFrame,
-    gdp: DataFrame,
-    population: DataFrame,
+    weights: DataFrame,
     groups: DataFrame,
     cut_lineage: bool = False,
 ) -> DataFrame:
     """Values with weights, region groups and, where missing, the imputed value.
 
+    ``weights`` is a :func:`weight_table`, or ``region, gdp, pop`` if they do not vary in time.
     The rows are read twice, for the averages and for the fill. ``cut_lineage``
     writes them to the checkpoint folder once instead of computing them twice.
     """
-    weighted = attach_weight(filled, weight_table(gdp, population))
+    weighted = attach_weight(filled, weights)
     grouped = lookup(
         weighted, groups.select("CountryCode", "RegionCode"), {"region": "CountryCode"}
     )
@@ -80,8 +79,7 @@ def economy_indicators(
     raw: DataFrame,
     mapping: DataFrame,
     mapping_order: list[str],
-    gdp: DataFrame,
-    population: DataFrame,
+    weights: DataFrame,
     groups: DataFrame,
     countries: Axis,
     years: Sequence[int] | None = None,
@@ -90,6 +88,7 @@ def economy_indicators(
     """Indicator values and weights per (region, type, driver_name, unit, period).
 
     The years are those of all regions in ``raw``, also of those not on the country list.
+    ``weights`` is a :func:`weight_table`, or ``region, gdp, pop`` if they do not vary in time.
     """
     filled = filled_indicators(
         on_axis(raw, "region", countries),
@@ -99,7 +98,7 @@ def economy_indicators(
         years,
         axis_of(raw, "period"),
     )
-    out = imputed_indicators(filled, gdp, population, groups, cut_lineage)
+    out = imputed_indicators(filled, weights, groups, cut_lineage)
     return Result(
         out.select(
             *["region", "type", "driver_name", "unit", "period"],

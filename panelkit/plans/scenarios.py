@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelkit import constants as K
 from panelkit.operators.complete import Axis, axis_of, common_axis, on_axis, to_country_panel
-from panelkit.operators.joins import lookup, override_observed
+from panelkit.operators.joins import lookup, missing_keys, override_observed
 from panelkit.operators.panel import Result
 from panelkit.operators.reshape import melt_years, year_columns
 from panelkit.session import durable
@@ -52,6 +52,15 @@ def scenario_panel(
     )
 
 
+def unmatched_names(df: DataFrame, names: DataFrame, region: str = "Region") -> DataFrame:
+    """The region names that ``names`` has no code for, with their number of rows: ``name, n``.
+
+    Rows of such names get a NULL region and are not part of a country panel.
+    """
+    counts = df.groupBy(F.col(region).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return missing_keys(counts, names, ["name"])
+
+
 def weight_by_variable(df: DataFrame, population: DataFrame, gdp: DataFrame) -> DataFrame:
     """Add the weight of each row: GDP, population, or NULL for summed variables."""
     key = ["region", "period", "scenario"]

@@ -8,6 +8,7 @@ from __future__ import annotations
 import csv
 import re
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,15 +25,17 @@ _RESERVED = {
 }
 
 
-def read_sheet(spark: SparkSession, path: str, skip: int = 0, sep: str = ",") -> DataFrame:
-    """A sheet with ``skip`` lines above its header, all columns as text.
+def read_sheet(
+    spark: SparkSession, path: str, skip: int = 0, sep: str = ",", multi_line: bool = False
+) -> DataFrame:
+    """A sheet with ``skip`` records above its header, all columns as text.
 
-    Headers are normalised. The lines above the data are removed where they stand, at
+    Headers are normalised. The records above the data are removed where they stand, at
     the start of the file's first block, so the file can still be split and read in
-    parallel, and a data row that repeats such a line stays. A record is one line.
+    parallel, and a data row that repeats such a record stays. A record is one line; with
+    ``multi_line`` quoted cells may hold line breaks, and one task reads the whole file.
     """
-    lines = [r.value for r in spark.read.text(path).head(skip + 1)]
-    records = [next(csv.reader([line], delimiter=sep), []) for line in lines]
+    records = _first_records(spark, path, skip + 1, sep, multi_line)
     header = _distinct_names(records[-1])
     names = [f"c{i}" for i in range(len(header))]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -41,6 +44,7 @@ def read_sheet(spark: SparkSession, path: str, skip: int = 0, sep: str = ",") ->
         .option("sep", sep)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("multiLine", multi_line)
         .csv(path)
         .select("*", F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row"))
     )
@@ -57,6 +61,23 @@ def read_sheet(spark: SparkSession, path: str, skip: int = 0, sep: str = ",") ->
     return normalise_headers(rows.drop("__block", "__row").toDF(*header))
 
 
+def _first_records(
+    spark: SparkSession, path: str, count: int, sep: str, multi_line: bool
+) -> list[list[str]]:
+    """The first records of a file; with ``multi_line`` as many lines are fetched as they span."""
+    n = count
+    while True:
+        lines = [r.value for r in spark.read.text(path).head(n)]
+        if not multi_line:
+            return [next(csv.reader([line], delimiter=sep), []) for line in lines]
+        parser = csv.reader((line + "\n" for line in lines), delimiter=sep)
+        records = list(islice(parser, count))
+        # the last record is whole if the parser stopped before the lines ran out
+        if len(lines) < n or (len(records) == count and parser.line_num < len(lines)):
+            return records
+        n *= 4
+
+
 def read_mapping(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """A mapping table, all columns as text; a blank cell is an empty string."""
     return spark.read.option("header", True).option("sep", sep).csv(path).fillna("")

@@ -58,6 +58,8 @@ def test_weights(frame):
     assert cells(table, "region", value="gdp_per_capita") == {"A": 4.0, "B": None}
     got = sorted((r.region, r.weight, r.weight_val) for r in attach_weight(df, table).collect())
     assert got == [("A", "gdp", 8.0), ("A", "pop", 2.0), ("B", "pop", None)]
+    steady = frame("region string, gdp double, pop double", [("A", 8.0, 2.0), ("B", 3.0, None)])
+    assert got == sorted((r.region, r.weight, r.weight_val) for r in attach_weight(df, steady).collect())
 
 
 def test_flagged_series_take_first_metadata(frame):

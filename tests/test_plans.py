@@ -5,8 +5,9 @@ from conftest import cells
 
 from panelkit.operators.aggregate import aggregate_regions
 from panelkit.plans.carbon import Dashboard, carbon_price, instrument_dim, read_dashboard
+from panelkit.operators.impute import weight_table
 from panelkit.plans.indicators import clean_indicators, economy_indicators
-from panelkit.plans.scenarios import scenario_extensions
+from panelkit.plans.scenarios import clean_scenarios, scenario_extensions, unmatched_names
 from panelkit.sources import read_mapping, read_sheet
 
 COUNTRIES = ["DEU", "FRA", "NZL", "LIE"]
@@ -223,7 +224,7 @@ def test_economy_indicators(spark, frame):
     groups = frame("CountryCode string, RegionCode string", [(c, "G") for c in countries])
     for cut in (False, True):
         result = economy_indicators(
-            raw, mapping, ["line"], gdp, pop, groups, countries, years, cut_lineage=cut
+            raw, mapping, ["line"], weight_table(gdp, pop), groups, countries, years, cut_lineage=cut
         )
         got = {(r.region, r.driver_name, r.period): r for r in result.data.collect()}
         assert len(got) == 3 * 3 * 3
@@ -261,6 +262,7 @@ def test_scenario_extensions(spark, frame):
     schema = "region string, period int, scenario string, value double"
     pop = frame(schema, [("AAA", 2020, "SSP1", 10.0), ("AAA", 2030, "SSP1", 11.0)])
     gdp = frame(schema, [("AAA", 2020, "SSP2", 20.0), ("AAA", 2040, "SSP2", 21.0)])
+    assert [tuple(r) for r in unmatched_names(clean_scenarios(sheet), names).collect()] == [("Nowhere", 2)]
     result = scenario_extensions(sheet, names, pop, gdp, ["AAA", "BBB"])
     got = {(r.region, r.scenario, r.variable, r.period): (r.value, r.weight) for r in result.data.collect()}
     relabelled = "Population|Urban UNDP [Share]"

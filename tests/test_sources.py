@@ -45,6 +45,20 @@ def test_rows_equal_to_heading_lines_stay(spark, tmp_path):
     assert sorted(r.unique_id for r in df.collect()) == ["Some title", "T1", "T2", "Updated"]
 
 
+@pytest.mark.parametrize("note", ["one line", "two\nlines", "a\n\n\n\n\n\nb"])
+def test_cells_with_line_breaks(spark, tmp_path, note):
+    path = tmp_path / "sheet.csv"
+    top = f'Title,"{note}",\n"Unique\nID",Note,"{note} 2020"\n'
+    path.write_text(top + f'T1,"first ""line""\n{note}",1\nT2,plain,2\nTitle,"{note}",\n')
+    df = read_sheet(spark, str(path), skip=1, multi_line=True)
+    assert df.columns[1] == "note" and len(df.columns) == 3
+    assert [tuple(r) for r in df.collect()] == [
+        ("T1", f'first "line"\n{note}', "1"),
+        ("T2", "plain", "2"),
+        ("Title", note, None),
+    ]
+
+
 def test_blank_mapping_cell_is_empty_text(spark, tmp_path):
     path = tmp_path / "map.csv"
     path.write_text("unique_id;sector_group;Status\nT1;bulk;x\nT2;;y\n")
