@@ -9,6 +9,7 @@ from panelkit.llm import (
     language,
     license_scan,
     line_quality,
+    merge_rounds,
     merkle,
     ngram_join,
     packing,
@@ -294,3 +295,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES).select(
         "doc_id", "n_bytes", "shard", F.col("depth").cast("int").alias("depth"), "shard_bytes", "fits"
     )
+
+
+@query()
+def op13_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_rounds.digests(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"))
