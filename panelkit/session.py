@@ -23,16 +23,19 @@ def local_session(cpus: int | str = "*", app: str = "panelkit") -> SparkSession:
     )
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder as Parquet and read it from there.
 
+    With ``by`` each value of that column is a folder of its own, and a filter on it reads no
+    other.
+
     For a small result that several later steps read: it is computed once, a lost
     executor does not lose it, and its size is known to the planner. Runs a job. The files
     lie under ``panelkit/<application id>``; :func:`clear` removes them.
     """
     spark = df.sparkSession
     path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
