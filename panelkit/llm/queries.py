@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import (
+    filter_audit,
     language,
     license_scan,
     line_quality,
@@ -297,6 +298,53 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+failed AS (
+  SELECT doc_id, part, [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+         100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text),
+         regexp_matches(text, '[#$%&*|]'), doc_id > min(doc_id) OVER (PARTITION BY text)] AS fails,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = doc.doc_id AND quality = 1) AS good,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = doc.doc_id AND toxic = 1) AS toxic
+  FROM doc),
+letter(i, f) AS (VALUES (1, 'A'), (2, 'B'), (3, 'C'), (4, 'D'), (5, 'E')),
+perm AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS places, a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+mask AS (
+  SELECT part, fails, good, toxic, count(*) AS n FROM failed GROUP BY ALL),
+step AS (
+  SELECT filter_order, CAST(s AS INTEGER) AS step, places, places[s] AS own FROM perm, LATERAL (SELECT unnest(range(1, 6)) AS s)),
+walk AS (
+  SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS fails_own,
+         len(list_filter(places[1:step - 1], lambda x: fails[x])) > 0 AS gone,
+         len(list_filter(fails, lambda x: x)) = 1 AS only_one
+  FROM mask, step),
+counted AS (
+  SELECT part, filter_order, step, own,
+         sum(n) FILTER (WHERE NOT gone AND NOT fails_own) AS kept,
+         sum(n) FILTER (WHERE NOT gone AND fails_own) AS removed,
+         sum(n) FILTER (WHERE gone AND fails_own) AS redundant,
+         sum(n) FILTER (WHERE fails_own AND only_one) AS unique_fails,
+         sum(n) FILTER (WHERE NOT gone AND fails_own AND good) AS good_lost,
+         sum(n) FILTER (WHERE NOT gone AND fails_own AND toxic) AS toxic_lost
+  FROM walk GROUP BY ALL)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+FROM counted"""
+)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op13_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_rounds.digests(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"))
