@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.llm import flat
-from panelkit.llm.common import durable, python_ready, quoted
+from panelkit.llm.common import durable, own, python_ready, quoted
 from panelkit.llm.components import components
 
 SKETCH_BITS = 22  # 4 million counters: 16 MB in a task, 4 MB broadcast as levels
@@ -399,6 +399,36 @@ def similar_groups(
     )
 
 
+def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **params) -> DataFrame:
+    """One row of each group of :func:`similar_groups`, with the columns of ``df``.
+
+    Rows are told apart by id and text together, so rows that share an id are judged by their
+    own texts. The row with the smallest id stays; among equal ids that of the smallest
+    hash of id and text, and a row without an id only if none in its group has one. Of rows
+    with the same id and text one stays, whatever their other columns. Texts without a word
+    are linked with nothing, so all of them stay, repeated rows too. An empty table gives an
+    empty result.
+    """
+    key = own("row_key", df.columns)
+    keyed = df.withColumn(key, F.xxhash64(quoted(doc_id), quoted(text)))
+    groups = similar_groups(keyed, key, text, **params).groupBy(F.col("doc_id").alias("k"))
+    groups = groups.agg(F.max("n_shingles").alias("size"), F.min("component_id").alias("component"))
+    rows = keyed.groupBy(F.col(key).alias("r")).agg(
+        F.min(quoted(doc_id)).alias("id"), F.count(F.lit(1)).alias("times")
+    )
+    judged = durable(groups.join(rows, F.col("k") == F.col("r")).drop("r"))
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "k", "times")
+    leaders = judged.filter("size > 0").groupBy("component").agg(F.min(order).alias("first"))
+    leaders = leaders.select(F.col("first.k").alias("k"), F.col("first.times").alias("times"))
+    wordless = judged.filter("size = 0").select("k", F.lit(1).cast("long").alias("times"))
+    kept_key, times = own("kept_key", [*df.columns, key]), own("times", [*df.columns, key])
+    verdict = leaders.unionByName(wordless).toDF(kept_key, times)
+    kept = keyed.join(verdict, F.col(key) == F.col(kept_key))
+    columns = [quoted(c) for c in df.columns]
+    again = kept.filter(F.col(times) > 1).dropDuplicates([key])
+    return kept.filter(F.col(times) == 1).select(columns).unionByName(again.select(columns))
+
+
 def _with_signatures(pairs: DataFrame, signatures: DataFrame, suffix: str) -> DataFrame:
     x = signatures.select(F.col("cls").alias("a"), F.col("sig").alias("sa"))
     y = signatures.select(F.col("cls").alias("b"), F.col("sig").alias("sb"))

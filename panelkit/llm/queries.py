@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import (
+    collocations,
     filter_audit,
     language,
     license_scan,
@@ -345,6 +346,55 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query(
+    rf"""
+WITH RECURSIVE line AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS line
+  FROM documents),
+piece AS (SELECT lang, regexp_extract_all(line, '[^\x20\x09]+') AS w FROM line),
+gram AS (
+  SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS f
+  FROM piece, (VALUES (1), (2), (3)) AS s(k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i) GROUP BY ALL),
+total AS (SELECT lang, sum(f) AS n FROM gram WHERE k = 1 GROUP BY 1),
+cand AS (SELECT * FROM gram WHERE k > 1 AND f >= {collocations.MIN_COUNT}),
+cut AS (
+  SELECT c.lang, c.k, c.g, c.f AS a, i, x.f AS l, y.f AS r,
+         1000000::HUGEINT * c.f::HUGEINT * c.f::HUGEINT // (x.f::HUGEINT * y.f::HUGEINT) AS score
+  FROM cand c, LATERAL (SELECT unnest(range(1, c.k)) AS i)
+  JOIN gram x ON x.lang = c.lang AND x.g = c.g[1:i] JOIN gram y ON y.lang = c.lang AND y.g = c.g[i + 1:c.k]),
+least AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, i) = 1),
+inside AS (
+  SELECT s.lang, s.g, max(t.f) AS top, max(t.f) FILTER (WHERE t.g[1:2] = s.g) AS out,
+         max(t.f) FILTER (WHERE t.g[2:3] = s.g) AS into
+  FROM cand s JOIN cand t ON s.lang = t.lang AND s.k = 2 AND t.k = 3 AND (t.g[1:2] = s.g OR t.g[2:3] = s.g) GROUP BY 1, 2),
+inner_node AS (
+  SELECT c.lang, c.g, c.f FROM cand c JOIN inside i ON c.lang = i.lang AND c.g = i.g WHERE i.out = c.f AND i.into = c.f),
+prev AS (
+  SELECT u.lang, u.g, p.g AS before FROM inner_node u JOIN cand t ON t.lang = u.lang AND t.k = 3 AND t.g[2:3] = u.g AND t.f = u.f
+  JOIN inner_node p ON p.lang = u.lang AND p.g = t.g[1:2]),
+walk AS (
+  SELECT lang, g, g AS root, 0 AS d FROM inner_node
+  UNION ALL
+  SELECT walk.lang, walk.g, prev.before AS root, d + 1 FROM walk JOIN prev ON prev.lang = walk.lang AND prev.g = walk.root),
+rooted AS (SELECT lang, g, arg_max(root, d) AS root FROM walk GROUP BY 1, 2),
+sized AS (SELECT lang, g, count(*) OVER (PARTITION BY lang, root) + 3 AS path_words FROM rooted),
+kept AS (
+  SELECT x.lang, array_to_string(x.g, ' ') AS phrase, a, l, r, score,
+         CASE WHEN x.k = 2 THEN 2 ELSE coalesce(q.path_words, p.path_words, 3) END AS path_words
+  FROM least x LEFT JOIN inside i ON x.k = 2 AND i.lang = x.lang AND i.g = x.g
+  LEFT JOIN sized p ON x.k = 3 AND p.lang = x.lang AND p.g = x.g[1:2]
+  LEFT JOIN sized q ON x.k = 3 AND q.lang = x.lang AND q.g = x.g[2:3]
+  WHERE i.top IS NULL OR 100 * i.top < {collocations.SHARE} * a),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score, CAST(path_words AS BIGINT) AS path_words
+FROM placed JOIN total USING (lang) WHERE rank <= {collocations.TOP}"""
+)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op13_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_rounds.digests(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"))
