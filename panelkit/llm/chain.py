@@ -14,6 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
+BLOCK = 256  # positions of a block; the result does not depend on it
+MOST_LABELS = 32  # with more labels a block's matrix costs more than single steps
+
 
 @dataclass
 class Chain:
@@ -37,29 +40,83 @@ def marginals(chain: Chain, emission: np.ndarray, lengths: np.ndarray, expect: b
 
     ``lengths`` are those of the sequences, in order, all above 0. With ``expect`` also the
     expected number of moves between labels and of starts.
+
+    A long sequence is worked on in blocks that advance together. What a block does to the
+    message that enters it is a matrix, so the messages at the borders of the blocks are known
+    before the blocks are run, and the result is that of one chain.
     """
     n, labels = emission.shape
+    local = np.exp(emission - emission.max(axis=1, keepdims=True)).astype(np.float64)
+    move = np.exp(chain.moves.astype(np.float64))
+    start = np.exp(chain.starts.astype(np.float64))
     begin = np.cumsum(lengths) - lengths
-    order = np.argsort(-lengths, kind="stable")
-    begin, size = begin[order], lengths[order]
+    if expect or labels > MOST_LABELS or not len(lengths) or lengths.max() <= BLOCK:
+        first, last = np.tile(start, (len(lengths), 1)), np.ones((len(lengths), labels))
+        both, moved = _run(local, move, begin, lengths, first, last, expect)
+        return (both, moved, both[begin].sum(axis=0)) if expect else both
+
+    parts = -(-lengths // BLOCK)
+    size = np.full(int(parts.sum()), BLOCK, np.int64)
+    final = np.cumsum(parts) - 1
+    size[final] = lengths - BLOCK * (parts - 1)
+    head = np.cumsum(size) - size
+    first, last = np.tile(start, (len(size), 1)), np.ones((len(size), labels))
+    several = np.flatnonzero(np.repeat(parts > 1, parts))
+    through = np.zeros((len(size), labels, labels))
+    through[several] = _through(local, move, head[several], size[several])
+    order = np.argsort(-parts, kind="stable")
+    block, count = (final - parts + 1)[order], parts[order]
+    longest = int(count[0])
+    active = np.searchsorted(-count, -np.arange(longest), "left")  # sequences of more than i blocks
+    for i in range(1, longest):
+        at = block[: active[i]] + i
+        first[at] = _unit(np.einsum("ij,ijk->ik", first[at - 1], through[at - 1]) @ move)
+    for i in range(longest - 1, 0, -1):
+        at = block[: active[i]] + i
+        last[at - 1] = _unit(np.einsum("ijk,ik->ij", through[at], last[at]) @ move.T)
+    return _run(local, move, head, size, first, last, False)[0]
+
+
+def _unit(a: np.ndarray) -> np.ndarray:
+    return a / a.sum(axis=-1, keepdims=True)
+
+
+def _through(local: np.ndarray, move: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each block the weights of all paths from its first to its last label, up to a factor."""
+    order = np.argsort(-size, kind="stable")
+    begin, size = begin[order], size[order]
+    out = local[begin][:, None, :] * np.eye(local.shape[1])
+    active = np.searchsorted(-size, -np.arange(int(size[0])), "left")
+    for t in range(1, int(size[0])):
+        k = active[t]
+        now = (out[:k] @ move) * local[begin[:k] + t][:, None, :]
+        out[:k] = now / now.sum(axis=(1, 2), keepdims=True)
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def _run(local, move, begin, size, first, last, expect):
+    """Marginals of sequences that ``first`` enters and ``last`` follows, and with ``expect`` moves."""
+    n, labels = local.shape
+    order = np.argsort(-size, kind="stable")
+    begin, size, first, last = begin[order], size[order], first[order], last[order]
     longest = int(size[0]) if len(size) else 0
     active = np.searchsorted(-size, -np.arange(longest), "left")  # sequences longer than t
-    local = np.exp(emission - emission.max(axis=1, keepdims=True)).astype(np.float64)
-    move = np.exp(chain.moves.astype(np.float64))
     ahead = np.empty((n, labels))
     scale = np.empty(n)
-    at = begin
     for t in range(longest):
         if t == 0:
-            a = local[at] * np.exp(chain.starts.astype(np.float64))
+            at = begin
+            a = local[at] * first
         else:
-            k = active[t]
-            at = begin[:k] + t
+            at = begin[: active[t]] + t
             a = (ahead[at - 1] @ move) * local[at]
         s = a.sum(axis=1)
         scale[at] = s
         ahead[at] = a / s[:, None]
     back = np.ones((n, labels))
+    back[begin + size - 1] = last
     moved = np.zeros((labels, labels))
     for t in range(longest - 1, 0, -1):
         at = begin[: active[t]] + t
@@ -69,9 +126,7 @@ def marginals(chain: Chain, emission: np.ndarray, lengths: np.ndarray, expect: b
             moved += (ahead[at - 1].T @ late) * move
     both = ahead * back
     both /= both.sum(axis=1, keepdims=True)
-    if expect:
-        return both, moved, both[begin].sum(axis=0)
-    return both
+    return both, moved
 
 
 def train(

@@ -29,7 +29,7 @@ PER_LANGUAGE = 120  # sampled texts per language
 TOTAL = 2_000  # sampled texts in all
 LEXICON = 20_000  # words
 BITS = 17  # affixes and n-grams are hashed to 2 ** BITS features
-CHAIN = 256  # words of a chain; longer texts are several chains
+CHAIN = 256  # words of a training sequence
 STRETCH = 20  # mean words between switches in training sequences
 
 UNKNOWN = "und"
@@ -140,11 +140,7 @@ def label_words(model: Model, column):
         numbers, counts = word_features(data, starts[at[part]], ends[at[part]], distinct[part], model.lexicon)
         emission[part] = chain.scores(model.field, numbers, counts)
     sizes = np.bincount(docs)
-    sizes = sizes[sizes > 0]
-    chains = -(-sizes // CHAIN)
-    lengths = np.full(int(chains.sum()), CHAIN, np.int64)
-    lengths[np.cumsum(chains) - 1] = sizes - CHAIN * (chains - 1)
-    return starts, ends, docs, chain.marginals(model.field, emission[back], lengths)
+    return starts, ends, docs, chain.marginals(model.field, emission[back], sizes[sizes > 0])
 
 
 def predict(model: Model, column) -> tuple[list[str], np.ndarray]:

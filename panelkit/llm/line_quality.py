@@ -24,10 +24,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from panelkit.llm import chain, flat
 from panelkit.llm.common import fold_of, own, python_ready, quoted
-from panelkit.llm.sample import uniform_sample
+from panelkit.llm.sample import LONGEST, uniform_sample
 
 SAMPLE = 2_500  # labelled texts
-CHAIN = 512  # lines of a chain; longer texts are several chains
 WIDTH = 16  # values of a feature
 
 _SHARES = np.array([1e-9, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.95, 1.0, 1.5, 2.0, 3.0])
@@ -127,12 +126,9 @@ def line_features(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
 
 
 def _chains(docs: np.ndarray) -> np.ndarray:
+    """The number of lines of each text that has one."""
     sizes = np.bincount(docs) if len(docs) else np.zeros(0, np.int64)
-    sizes = sizes[sizes > 0]
-    parts = -(-sizes // CHAIN)
-    lengths = np.full(int(parts.sum()), CHAIN, np.int64)
-    lengths[np.cumsum(parts) - 1] = sizes - CHAIN * (parts - 1)
-    return lengths
+    return sizes[sizes > 0]
 
 
 def good_share(field: chain.Chain, column) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +189,7 @@ def learn(df: DataFrame, labels: DataFrame, doc_id: str, text: str) -> Model | N
     known = labels.filter(F.col("quality").isin(0, 1) & (fold_of("doc_id") != 1))
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     texts = df.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text")).filter(F.col("text").isNotNull())
-    ids = texts.filter(fold_of("doc_id") != 1).filter(F.length("text") <= 20_000).select("doc_id")
+    ids = texts.filter(fold_of("doc_id") != 1).filter(F.length("text") <= LONGEST).select("doc_id")
     drawn = known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     labelled = texts.join(F.broadcast(drawn), "doc_id")
     return fit(uniform_sample(labelled, "quality", SAMPLE))
@@ -204,8 +200,8 @@ def score(
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted``, one row per row of ``df``.
 
-    Learns from rows of ``labels`` (``doc_id, quality``) outside the held-out fold; a score
-    sees the text only. NULL, empty and wordless texts get the share of label 1 in the
+    Learns from rows of ``labels`` (``doc_id, quality``) outside the held-out fold; a document
+    with both labels counts as label 1. A score sees the text only. NULL, empty and wordless texts get the share of label 1 in the
     sample; without any label every score is 0.5. Equal texts get equal scores. An empty
     table gives an empty result; other columns are not read.
     """
@@ -232,7 +228,12 @@ def score(
 def keep_good(
     df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of ``df`` that are predicted to have label 1, with its columns."""
+    """The rows of ``df`` that are predicted to have label 1, with its columns.
+
+    Judged as in :func:`score`: a NULL, empty or wordless text goes if label 1 is rarer than
+    label 0 in the sample; repeated rows and equal texts stay or go together; without any label
+    everything stays. An empty table gives an empty result.
+    """
     spark = df.sparkSession
     python_ready(spark)
     model = spark.sparkContext.broadcast(learn(df, labels, doc_id, text))
