@@ -8,15 +8,12 @@ rules come next, over what is left; the most expensive step, near duplicates, se
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelkit.llm import line_quality, ngram_join, packing, quality_rules
 from panelkit.llm.common import table
 from panelkit.llm.queries import vocabulary_file
-from panelkit.session import checkpoint_folder, with_folder
+from panelkit.session import durable, with_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +29,9 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id.
 
-    Of rows that share an id one stays. Rows without an id cannot be told apart, so all of
-    them stay.
+    Every row is judged by its own text, also if it shares its id with others or has none.
     """
-    groups = ngram_join.similar_groups(docs)
-    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(first, docs["doc_id"] == first["first_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(docs["doc_id"].isNull()))
+    return ngram_join.keep_first(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,13 +53,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; what a stage keeps is written as Parquet for the next."""
     with_folder(spark)
-    folder = f"{checkpoint_folder(spark)}/pipeline/{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            path = f"{folder}/{i}-{name}"
-            out.write.parquet(path)
-            out = spark.read.schema(out.schema).parquet(path)
-        docs = out
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
