@@ -7,6 +7,11 @@ out of all nodes that begin with a word is that word's count. Edges lighter than
 of a candidate are added up into their node's flow as soon as their weight is known. Nodes that
 all the flow enters by one edge and leaves by one edge are compacted into paths: an inner node of
 a path always gives way to the longer phrases around it.
+
+Edges meet by a hash of the whole edge, then flows by a hash of the node, so no frequent node or
+word is gathered anywhere. Most edges are rare, and there are nearly as many as words. They travel
+in compressed blocks, one per slice of text and bucket, sorted, and a task adds up one bucket at
+a time; the number of buckets grows with the bytes of text.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +32,14 @@ from panelkit.operators.ranks import ranked
 MIN_COUNT = 10  # least count of a candidate
 TOP = 2_000  # phrases reported per language
 SHARE = 50  # percent of a candidate's count from which a longer one replaces it
-_SALTS = 8  # a node's or word's rows are dealt out to so many keys
-_SLICE = 8 << 20  # bytes of text whose edges a task adds up at a time
+_SALTS = 8  # the rows of a frequent node or word are dealt out to so many keys
+_SLICE = 8 << 20  # bytes of text whose edges a task adds up at a time, and per bucket on average
 _ROWS = 200_000  # rows of a batch
 
+_BLOCKS = "bucket bigint, lang string, grams binary, weights binary"
+_FOUND = "kind int, lang string, node string, next string, weight bigint, other bigint"
+_NODE, _EDGE, _WORD = 0, 1, 2
+
 _PIECE = np.zeros(256, bool)
 _PIECE[[*map(ord, ".,;:!?"), *range(0x0A, 0x0E)]] = True
 _GAP = _PIECE.copy()
@@ -40,7 +50,7 @@ _GAP[[0x20, 0x09]] = True
 class Graph:
     """The graph of each language; counts below the least count are left out.
 
-    ``edges``: ``lang, node, next, a``, the trigram ``node next`` and its count. ``nodes``: ``lang, node,
+    ``edges``: ``lang, node, next, a, before``, the trigram ``node next``, its count and that of ``node``. ``nodes``: ``lang, node,
     f, unary, top`` and ``path_words``: the bigram's count, whether it lies inside a path, the count of
     the most frequent trigram that contains it, and the words of its path. ``paths``:
     ``lang, node, root, place``: the place of each inner node in its path, from 0, and the path's first
@@ -54,17 +64,17 @@ class Graph:
     totals: DataFrame
 
 
-def partial_edges(langs: pa.Array, texts: pa.Array) -> list[pa.Array]:
-    """``lang, node, next, weight`` of some texts: each distinct edge once, sorted.
+def partial_edges(langs: pa.Array, texts: pa.Array) -> tuple[list, np.ndarray, pa.Array, np.ndarray]:
+    """Languages, and for each distinct edge its language's number, its words and its weight.
 
-    ``next`` is NULL where a piece ends behind the node; a node of one word is the last word of
-    its piece.
+    A gram of two words is the end of a piece behind them, one word the last of a piece. The
+    grams of a language are sorted.
     """
     data, offsets = flat.flatten(texts)
     data = flat.LOWER[data]
     starts, ends, docs = flat.spans(data, offsets, _GAP)
     if not len(starts):
-        return [pa.array([], pa.string()), pa.array([], pa.string()), pa.array([], pa.string()), pa.array([], pa.int64())]
+        return [], np.zeros(0, np.int64), pa.array([], pa.large_string()), np.zeros(0, np.int64)
     piece = flat.counts_between(_PIECE[data], starts)
     joined = np.zeros(len(starts) + 1, bool)  # with the next word
     joined[:-2] = (docs[1:] == docs[:-1]) & (piece[1:] == piece[:-1])
@@ -90,53 +100,206 @@ def partial_edges(langs: pa.Array, texts: pa.Array) -> list[pa.Array]:
     alone, alone_weight = np.unique(first[~joined[:-1]], return_counts=True)
 
     node_first = nodes // size
-    pair = [names.take(pa.array(node_first % size)), names.take(pa.array(nodes % size))]
-    node_names = pc.binary_join_element_wise(*pair, pa.scalar(" ", pa.large_string()))
+    node_names = _joined(names.take(pa.array(node_first % size)), names.take(pa.array(nodes % size)))
     edge_node = edges // size
-    lang_of = np.concatenate([(node_first // size)[edge_node], (node_first // size)[stopped], alone // size])
-    named = [node_names.take(pa.array(np.concatenate([edge_node, stopped]))), names.take(pa.array(alone % size))]
-    then = [names.take(pa.array(edges % size)), pa.nulls(len(stopped) + len(alone), pa.large_string())]
-    return [
-        lang.dictionary.take(pa.array(lang_of)).cast(pa.string()),
-        pa.chunked_array(named, pa.large_string()).combine_chunks().cast(pa.string()),
-        pa.chunked_array(then, pa.large_string()).combine_chunks().cast(pa.string()),
-        pa.array(np.concatenate([weight, stops[stopped], alone_weight]).astype(np.int64)),
+    grams = [
+        _joined(node_names.take(pa.array(edge_node)), names.take(pa.array(edges % size))),
+        node_names.take(pa.array(stopped)),
+        names.take(pa.array(alone % size)),
     ]
+    own = np.concatenate([(node_first // size)[edge_node], (node_first // size)[stopped], alone // size])
+    whole = pa.chunked_array(grams, pa.large_string()).combine_chunks()
+    return lang.dictionary.to_pylist(), own, whole, np.concatenate([weight, stops[stopped], alone_weight])
 
 
-def graph(df: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT) -> Graph:
-    """The compacted graph of all texts; writes its tables once to the shared folder.
+def _joined(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pc.binary_join_element_wise(a, b, pa.scalar(" ", pa.large_string()))
 
-    A NULL text is empty, a NULL language is ``und``.
+
+def _blocks(langs: list, own: np.ndarray, grams: pa.Array, weights: np.ndarray, bucket: np.ndarray):
+    """A row per language and bucket: its grams, a line each, and their weights, both compressed."""
+    if not len(grams):
+        return
+    span = int(bucket.max()) + 1
+    key = own * span + bucket
+    order = np.argsort(key, kind="stable")
+    key, packer = key[order], zstandard.ZstdCompressor(level=3)
+    lines = pc.binary_join_element_wise(
+        grams.take(pa.array(order)), pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
+    )
+    data, at = flat.flatten(lines)
+    weights = weights[order].astype(np.int64)
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    rows = []
+    for low, high in zip(heads.tolist(), np.append(heads[1:], len(key)).tolist()):
+        lang, number = divmod(int(key[low]), span)
+        text = packer.compress(data[at[low] : at[high]].tobytes())
+        rows.append((number, langs[lang], text, packer.compress(weights[low:high].tobytes())))
+    kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary()]
+    for low in range(0, len(rows), 1_000):
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*rows[low : low + 1_000]), kinds)]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", "lang", "grams", "weights"])
+
+
+def _buckets(batches):
+    """``lang, grams, weights`` of each bucket and language, added up; blocks come sorted by bucket."""
+    unpacker = zstandard.ZstdDecompressor()
+    key, held = None, []
+    for batch in batches:
+        columns = [batch.column(i) for i in range(4)]
+        for i in range(batch.num_rows):
+            now = (columns[0][i].as_py(), columns[1][i].as_py())
+            if now != key and held:
+                yield key[1], *_added(held)
+                held = []
+            key = now
+            block = [unpacker.decompress(memoryview(columns[c][i].as_buffer())) for c in (2, 3)]
+            held.append((block[0], np.frombuffer(block[1], np.int64)))
+    if held:
+        yield key[1], *_added(held)
+    flat.give_back()
+
+
+def _added(blocks: list[tuple[bytes, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    data = np.frombuffer(b"".join(text for text, _ in blocks), np.uint8)
+    ends = np.flatnonzero(data == 10)
+    places = np.concatenate([[0], ends + 1 - np.arange(1, len(ends) + 1)])  # line ends are left out
+    solid = np.ascontiguousarray(data[data != 10])
+    grams = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(places), pa.py_buffer(solid))
+    coded = grams.dictionary_encode()
+    total = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(total, coded.indices.to_numpy(), np.concatenate([w for _, w in blocks]))
+    return coded.dictionary, total
+
+
+def _parts(grams: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """The node and the next word of each gram, and the number of its words.
+
+    The node of a gram of one or two words is the gram, and no word is next.
     """
-    python_ready(df.sparkSession)
-    slim = df.select(F.coalesce(quoted(lang), F.lit("und")).alias("lang"), quoted(text).alias("text"))
+    data, offsets = flat.flatten(grams)
+    gaps = np.flatnonzero(data == 0x20)
+    upto = np.searchsorted(gaps, offsets)
+    words = np.diff(upto) + 1
+    cut = offsets[1:].copy()
+    three = np.flatnonzero(words == 3)
+    cut[three] = gaps[upto[1:][three] - 1]
+    after = np.minimum(cut + 1, offsets[1:])
+    return _cut(data, offsets[:-1], cut), _cut(data, after, offsets[1:]), words
 
+
+def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    size = ends - starts
+    places = np.concatenate([[0], np.cumsum(size)])
+    where = np.arange(places[-1]) - np.repeat(places[:-1] - starts, size)
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(places), pa.py_buffer(data[where]))
+
+
+def _hash(grams: pa.Array, buckets: int) -> np.ndarray:
+    data, offsets = flat.flatten(grams)
+    return (flat.hash_spans(data, offsets[:-1], offsets[1:]) % np.uint64(buckets)).astype(np.int64)
+
+
+def _slices_to_edges(buckets: int):
     def run(batches):
         for batch in batches:
             for piece in flat.slices(batch, "text", _SLICE):
-                found = pa.RecordBatch.from_arrays(
-                    partial_edges(piece.column(0), piece.column(1)), ["lang", "node", "next", "weight"]
-                )
-                for at in range(0, found.num_rows, _ROWS):
-                    yield found.slice(at, _ROWS)
-
-    partial = slim.mapInArrow(run, "lang string, node string, next string, weight bigint")
-    salt = F.when(F.col("next").isNull(), 0).otherwise(F.pmod(F.xxhash64("next"), F.lit(_SALTS))).cast("int")
-    dealt = partial.withColumn("salt", salt).repartition("lang", "node", "salt")
-    counted = dealt.groupBy("lang", "node", "salt", "next").agg(F.sum("weight").alias("weight"))
-    # still in the same tasks: light edges and ends of pieces become one row of their node
-    kept = F.when(F.col("weight") >= min_count, F.col("next"))
-    flows = counted.groupBy("lang", "node", "salt", kept.alias("next")).agg(F.sum("weight").alias("weight"))
-    flows = durable(flows.drop("salt"))
-
-    totals = flows.groupBy("lang").agg(F.sum("weight").alias("n"))
-    word = F.substring_index("node", " ", 1).alias("word")
-    words = flows.groupBy("lang", word).agg(F.sum("weight").alias("f")).filter(F.col("f") >= min_count)
-    edges = flows.filter(F.col("next").isNotNull()).select("lang", "node", "next", F.col("weight").alias("a"))
-    heaviest = F.max(F.when(F.col("next").isNotNull(), F.col("weight")))
-    nodes = flows.filter(F.contains("node", F.lit(" "))).groupBy("lang", "node")
-    nodes = nodes.agg(F.sum("weight").alias("f"), heaviest.alias("out")).filter(F.col("f") >= min_count)
+                langs, own, grams, weights = partial_edges(piece.column(0), piece.column(1))
+                yield from _blocks(langs, own, grams, weights, _hash(grams, buckets))
+
+    return run
+
+
+def _edges_to_nodes(buckets: int, least: int):
+    """Heavy edges stay grams of three words; all others become part of their node's flow."""
+
+    def run(batches):
+        for lang, grams, weights in _buckets(batches):
+            node, _, words = _parts(grams)
+            heavy = (words == 3) & (weights >= least)
+            kept = pa.array(np.flatnonzero(heavy))
+            coded = node.filter(pa.array(~heavy)).dictionary_encode()
+            flow = np.bincount(coded.indices.to_numpy(), weights=weights[~heavy], minlength=len(coded.dictionary))
+            whole = pa.chunked_array([grams.take(kept), coded.dictionary], pa.large_string()).combine_chunks()
+            total = np.concatenate([weights[heavy], flow.astype(np.int64)])
+            bucket = np.concatenate([_hash(node.take(kept), buckets), _hash(coded.dictionary, buckets)])
+            yield from _blocks([lang], np.zeros(len(total), np.int64), whole, total, bucket)
+
+    return run
+
+
+def _nodes_to_rows(least: int):
+    """Heavy nodes and edges, and what the bucket's nodes add to the counts of their first words."""
+
+    def run(batches):
+        for lang, grams, weights in _buckets(batches):
+            node, after, words = _parts(grams)
+            coded = node.dictionary_encode()
+            code, names = coded.indices.to_numpy(), coded.dictionary
+            flow = np.bincount(code, weights=weights, minlength=len(names)).astype(np.int64)
+            edge = np.flatnonzero(words == 3)
+            out = np.zeros(len(names), np.int64)
+            np.maximum.at(out, code[edge], weights[edge])
+            data, offsets = flat.flatten(names)
+            gaps = np.flatnonzero(data == 0x20)
+            upto = np.searchsorted(gaps, offsets)
+            pair = np.diff(upto) > 0
+            head = offsets[1:].copy()
+            head[pair] = gaps[upto[:-1][pair]]
+            first = _cut(data, offsets[:-1], head).dictionary_encode()
+            count = np.bincount(first.indices.to_numpy(), weights=flow, minlength=len(first.dictionary))
+            heavy = np.flatnonzero(pair & (flow >= least))
+            yield from _rows(_NODE, lang, names.take(pa.array(heavy)), None, flow[heavy], out[heavy])
+            yield from _rows(
+                _EDGE, lang, node.take(pa.array(edge)), after.take(pa.array(edge)), weights[edge], flow[code[edge]]
+            )
+            yield from _rows(_WORD, lang, first.dictionary, None, count.astype(np.int64), None)
+
+    return run
+
+
+def _rows(kind: int, lang: str, node: pa.Array, after: pa.Array | None, weight: np.ndarray, other):
+    n = len(node)
+    columns = [
+        pa.array(np.full(n, kind, np.int32)),
+        pa.repeat(pa.scalar(lang, pa.string()), n),
+        node.cast(pa.string()),
+        pa.nulls(n, pa.string()) if after is None else after.cast(pa.string()),
+        pa.array(weight),
+        pa.nulls(n, pa.int64()) if other is None else pa.array(other),
+    ]
+    whole = pa.RecordBatch.from_arrays(columns, ["kind", "lang", "node", "next", "weight", "other"])
+    for at in range(0, n, _ROWS):
+        yield whole.slice(at, _ROWS)
+
+
+def graph(df: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT) -> Graph:
+    """The compacted graph of all texts; writes its tables once to the shared folder.
+
+    A NULL text is empty, a NULL language is ``und``.
+    """
+    spark = df.sparkSession
+    python_ready(spark)
+    slim = df.select(F.coalesce(quoted(lang), F.lit("und")).alias("lang"), quoted(text).alias("text"))
+    size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(2 * parts, -(-size // _SLICE))
+
+    def dealt(blocks: DataFrame) -> DataFrame:
+        return blocks.repartition(parts, "bucket").sortWithinPartitions("bucket", "lang")
+
+    edges = dealt(slim.mapInArrow(_slices_to_edges(buckets), _BLOCKS))
+    nodes = dealt(edges.mapInArrow(_edges_to_nodes(buckets, min_count), _BLOCKS))
+    found = durable(nodes.mapInArrow(_nodes_to_rows(min_count), _FOUND))
+
+    first = found.filter(F.col("kind") == _WORD)
+    totals = first.groupBy("lang").agg(F.sum("weight").alias("n"))
+    words = first.groupBy("lang", F.col("node").alias("word")).agg(F.sum("weight").alias("f"))
+    words = words.filter(F.col("f") >= min_count)
+    edges = found.filter(F.col("kind") == _EDGE)
+    edges = edges.select("lang", "node", "next", F.col("weight").alias("a"), F.col("other").alias("before"))
+    nodes = found.filter(F.col("kind") == _NODE)
+    nodes = nodes.select("lang", "node", F.col("weight").alias("f"), F.nullif("other", F.lit(0)).alias("out"))
     entered = edges.groupBy(F.col("lang").alias("in_lang"), _suffix().alias("in_node")).agg(F.max("a").alias("into"))
     joined = nodes.join(entered, (F.col("lang") == F.col("in_lang")) & (F.col("node") == F.col("in_node")), "left")
     unary = (F.col("into") == F.col("f")) & (F.col("out") == F.col("f"))
@@ -238,18 +401,18 @@ def candidates(found: Graph, share: int = SHARE) -> DataFrame:
     salt = F.pmod(F.xxhash64("phrase"), F.lit(_SALTS)).cast("int").alias("salt")
     head, tail = F.substring_index("phrase", " ", 1), F.substring_index("phrase", " ", -1)
 
-    three = found.edges.select("lang", "node", "next", F.concat_ws(" ", "node", "next").alias("phrase"), "a")
-    three = three.select("*", salt, _suffix().alias("after"))
-    three = _with(three, nodes, F.col("node"), f="f_before", path_words="path_before")
+    three = found.edges.select("lang", "node", F.concat_ws(" ", "node", "next").alias("phrase"), "a", "before", _suffix().alias("after"))
+    three = three.select("*", salt)
+    three = _with(three, nodes, F.col("node"), path_words="path_before")
     three = _with(three, nodes, F.col("after"), f="f_after", path_words="path_after")
     three = _with(_with(three, words, head, f="f_head"), words, tail, f="f_tail")
-    three = three.withColumn("score_1", _score("f_head", "f_after")).withColumn("score_2", _score("f_before", "f_tail"))
+    three = three.withColumn("score_1", _score("f_head", "f_after")).withColumn("score_2", _score("before", "f_tail"))
     early = F.col("score_1") <= F.col("score_2")
     three = three.select(
         "lang",
         "phrase",
         "a",
-        F.when(early, F.col("f_head")).otherwise(F.col("f_before")).alias("l"),
+        F.when(early, F.col("f_head")).otherwise(F.col("before")).alias("l"),
         F.when(early, F.col("f_after")).otherwise(F.col("f_tail")).alias("r"),
         F.least("score_1", "score_2").alias("score"),
         F.coalesce("path_after", "path_before", F.lit(3)).cast("long").alias("path_words"),
