@@ -34,7 +34,7 @@ def durable(df: DataFrame, by: str | None = None) -> DataFrame:
     lie under ``panelkit/<application id>``; :func:`clear` removes them.
     """
     spark = df.sparkSession
-    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/{uuid.uuid4().hex}"
     (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -61,11 +61,12 @@ def with_folder(spark: SparkSession) -> SparkSession:
 
 
 def clear(spark: SparkSession) -> None:
-    """Delete what :func:`durable` wrote in this application; its DataFrames are then unusable."""
+    """Delete all that this application wrote to the shared folder; DataFrames on it are then unusable."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path = jvm.org.apache.hadoop.fs.Path(work_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _own_folder(spark: SparkSession) -> str:
+def work_folder(spark: SparkSession) -> str:
+    """The folder for what this application writes and :func:`clear` deletes."""
     return f"{checkpoint_folder(spark)}/panelkit/{spark.sparkContext.applicationId}"
