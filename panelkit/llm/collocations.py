@@ -282,11 +282,12 @@ def graph(df: DataFrame, text: str = "text", lang: str = "lang", min_count: int
     python_ready(spark)
     slim = df.select(F.coalesce(quoted(lang), F.lit("und")).alias("lang"), quoted(text).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2 * parts, -(-size // _SLICE))
+    buckets = max(1, -(-size // _SLICE))  # a bucket holds about as much as a slice of text
+    parts = min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def dealt(blocks: DataFrame) -> DataFrame:
-        return blocks.repartition(parts, "bucket").sortWithinPartitions("bucket", "lang")
+        even = blocks.repartitionById(parts, (F.col("bucket") % parts).cast("int"))
+        return even.sortWithinPartitions("bucket", "lang")
 
     edges = dealt(slim.mapInArrow(_slices_to_edges(buckets), _BLOCKS))
     nodes = dealt(edges.mapInArrow(_edges_to_nodes(buckets, min_count), _BLOCKS))
