@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import durable, python_ready, quoted
-from panelkit.session import checkpoint_folder
+from panelkit.session import work_folder
 
 ARCHIVE_BYTES = 32 << 20  # payload after which a task begins another archive
 ARCHIVE_RECORDS = 20_000
@@ -95,7 +95,7 @@ def _writer(folder: str):
 
     def run(batches):
         context = TaskContext.get()
-        stem = f"{folder}/raw-{context.partitionId():06d}-{context.taskAttemptId()}"
+        stem = f"{folder}/raw/{context.partitionId():06d}-{context.taskAttemptId()}"
         out = sink = None
         path, rows, size, files = "", [], 0, 0
         for batch in batches:
@@ -169,7 +169,7 @@ def _normaliser(folder: str):
         context = TaskContext.get()
         for batch in batches:
             for source, numbers, holders in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                stem = source.rpartition("/")[2].removeprefix("raw-").removesuffix(".warc.gz")
+                stem = source.rpartition("/")[2].removesuffix(".warc.gz")
                 target = f"{folder}/{stem}-{context.taskAttemptId()}.warc.gz"
                 n = normalise(source, target, f"{target}.idx", dict(zip(numbers or [], holders or [])))
                 yield _rows([(target, f"{target}.idx", n)], _FILES)
@@ -221,8 +221,8 @@ def write_archives(
     """
     spark = df.sparkSession
     python_ready(spark)
-    folder = f"{checkpoint_folder(spark)}/warc/{uuid.uuid4().hex}"
-    place, name = _place(folder)
+    folder = f"{work_folder(spark)}/warc-{uuid.uuid4().hex}"
+    place, name = _place(f"{folder}/raw")
     place.create_dir(name, recursive=True)
     slim = df.select(
         quoted(page_id).cast("long").alias("page_id"), quoted(url).alias("url"), quoted(html).alias("html")
@@ -236,10 +236,9 @@ def write_archives(
     work = records.select("path").distinct().join(listed, "path", "left")
     work = work.select("path", F.col("revisits.n").alias("n"), F.col("revisits.holder").alias("holder"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a given number is not coalesced
-    done = durable(work.repartition(parts, "path").mapInArrow(_normaliser(folder), _FILES))
-    for info in place.get_file_info(fs.FileSelector(name)):
-        if info.base_name.startswith("raw-"):
-            place.delete_file(info.path)
+    # by another hash than that of the join before, which would count as this exchange already
+    done = durable(work.repartition(parts, F.xxhash64("path")).mapInArrow(_normaliser(folder), _FILES))
+    place.delete_dir(name)
     return done
 
 
