@@ -1,4 +1,9 @@
+import csv
+import io
+import random
+
 import pytest
+from pyspark.errors import PySparkException
 
 from panelkit.operators.reshape import (
     align_columns,
@@ -52,13 +57,88 @@ def test_cells_with_line_breaks(spark, tmp_path, note):
     path.write_text(top + f'T1,"first ""line""\n{note}",1\nT2,plain,2\nTitle,"{note}",\n')
     df = read_sheet(spark, str(path), skip=1, multi_line=True)
     assert df.columns[1] == "note" and len(df.columns) == 3
-    assert [tuple(r) for r in df.collect()] == [
+    assert sorted(map(tuple, df.collect())) == [
         ("T1", f'first "line"\n{note}', "1"),
         ("T2", "plain", "2"),
         ("Title", note, None),
     ]
 
 
+@pytest.fixture()
+def small_blocks(spark):
+    """Files are read in blocks of a few bytes."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def set_bytes(n):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(n))
+
+    yield set_bytes
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def some_cell(rng):
+    kinds = ["", "plain", "a b", 'say ""', "x\ny", "\n\n", '"\n"', "long " * 9, "one\r\ntwo", ",", "é\n漢"]
+    return "".join(rng.choice(kinds) for _ in range(rng.randrange(4)))
+
+
+@pytest.mark.parametrize("seed, block", [(1, 7), (2, 40), (3, 300), (4, 1 << 20)])
+def test_line_breaks_over_many_blocks(spark, tmp_path, small_blocks, seed, block):
+    rng = random.Random(seed)
+    rows = [[str(i), some_cell(rng), some_cell(rng)] for i in range(120)]
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator=rng.choice(["\n", "\r\n"]))
+    writer.writerows([["a title\nover lines", "", ""], ["Id", "Free\ntext", "More"], *rows])
+    (tmp_path / "sheet.csv").write_bytes(out.getvalue().encode())
+    small_blocks(block)
+    df = read_sheet(spark, str(tmp_path / "sheet.csv"), skip=1, multi_line=True)
+    assert df.columns == ["id", "free\ntext", "more"]
+    want = sorted((a, b or None, c or None) for a, b, c in rows)
+    assert sorted(map(tuple, df.collect())) == want
+    if block < 1000:
+        scan = spark.read.text(str(tmp_path / "sheet.csv")).rdd.getNumPartitions()
+        assert scan > 1
+
+
+def test_a_record_over_several_blocks(spark, tmp_path, small_blocks):
+    note = "\n".join(f"line {i}" for i in range(200))
+    (tmp_path / "s.csv").write_text(f'Id,Note\n1,"{note}"\n2,x\n3,"{note}"\n')
+    small_blocks(64)
+    got = {r.id: r.note for r in read_sheet(spark, str(tmp_path / "s.csv"), multi_line=True).collect()}
+    assert got == {"1": note, "2": "x", "3": note}
+
+
+def test_a_broken_cell_is_an_error_by_default(spark, tmp_path):
+    path = tmp_path / "sheet.csv"
+    path.write_text('Id,Note\n1,"two\nlines"\n2,x\n')
+    df = read_sheet(spark, str(path))
+    for read in (df.collect, df.count):
+        with pytest.raises(PySparkException, match="multi_line"):
+            read()
+
+
+def test_a_cell_that_is_never_closed_is_an_error(spark, tmp_path, small_blocks):
+    path = tmp_path / "sheet.csv"
+    path.write_text('Id,Note\n1,"two\nlines"\n2,"x\n' + "3,y\n" * 50)
+    small_blocks(64)
+    with pytest.raises(PySparkException, match="never closed"):
+        read_sheet(spark, str(path), multi_line=True).collect()
+
+
+def test_a_folder_of_sheets(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"{i}.csv").write_text(f"Title,\nId,Note\n{i},a\nTitle,\nId,Note\n")
+    for multi_line in (False, True):
+        df = read_sheet(spark, str(tmp_path), skip=1, multi_line=multi_line)
+        assert sorted(r.id for r in df.collect()) == [*"01234", *["Id"] * 5, *["Title"] * 5]
+
+
+def test_names_by_position(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("Id,,Id,Total,\n1,2,3,4,5\n")
+    df = read_sheet(spark, str(tmp_path / "s.csv"))
+    assert df.columns == ["id...1", "...2", "id...3", "total", "...5"]
+    assert tuple(df.first()) == ("1", "2", "3", "4", "5")
+
+
 def test_blank_mapping_cell_is_empty_text(spark, tmp_path):
     path = tmp_path / "map.csv"
     path.write_text("unique_id;sector_group;Status\nT1;bulk;x\nT2;;y\n")
@@ -89,6 +169,32 @@ def test_indicator_folder(spark, tmp_path):
     }
 
 
+def test_many_indicator_files_take_as_many_jobs_as_one(spark, tmp_path):
+    def jobs(folder, n):
+        for i in range(n):
+            (folder / f"f{i}.csv").write_text(f"Code,Year,Driver {i}\r\nAAA,2000,{i}\r\nBBB,2001,\r\n")
+        spark.sparkContext.setJobGroup(folder.name, "")
+        try:
+            rows = read_indicator_folder(spark, str(folder)).collect()
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+        want = {("AAA", 2000, f"f{i}", f"Driver_{i}", float(i)) for i in range(n)}
+        want |= {("BBB", 2001, f"f{i}", f"Driver_{i}", None) for i in range(n)}
+        assert set(map(tuple, rows)) == want and len(rows) == 2 * n
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(folder.name))
+
+    (tmp_path / "few").mkdir()
+    (tmp_path / "many").mkdir()
+    few, many = jobs(tmp_path / "few", 40), jobs(tmp_path / "many", 300)
+    assert many <= few + 1
+
+
+def test_indicator_file_without_ids(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Country,Year,x\nA,2000,1\n")
+    with pytest.raises(ValueError, match="Code"):
+        read_indicator_folder(spark, str(tmp_path))
+
+
 def test_empty_indicator_folder(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_indicator_folder(spark, str(tmp_path))
