@@ -33,7 +33,7 @@ MIN_COUNT = 10  # least count of a candidate
 TOP = 2_000  # phrases reported per language
 SHARE = 50  # percent of a candidate's count from which a longer one replaces it
 _SALTS = 8  # the rows of a frequent node or word are dealt out to so many keys
-_SLICE = 8 << 20  # bytes of text whose edges a task adds up at a time, and per bucket on average
+_SLICE = 4 << 20  # bytes of text whose edges a task adds up at a time, and per bucket on average
 _ROWS = 200_000  # rows of a batch
 
 _BLOCKS = "bucket bigint, lang string, grams binary, weights binary"
