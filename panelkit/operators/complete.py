@@ -1,9 +1,10 @@
 """Completing panels: missing years, missing entities, missing combinations.
 
 An axis is a list of labels or a table with one column, of any length. A grid joins the
-distinct keys to the axis on a chunk number: every key asks for each chunk of the axis once,
-and a chunk holds about a thousand labels. So no cross join is planned, no task makes the whole
-grid, and Spark broadcasts a short axis and shuffles a long one by chunk.
+distinct keys to the axis in two dimensions: the axis is packed into chunks of about a thousand
+labels, the keys are dealt into buckets, and each bucket meets each chunk once. There are about
+twice as many such meetings as shuffle partitions, so no cross join is planned, and neither few
+keys nor a short axis put the grid into few tasks, whether Spark broadcasts the axis or not.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,20 +63,40 @@ def common_axis(spark: SparkSession, name: str, *axes: Axis) -> DataFrame:
 
 
 def expand(keys: DataFrame, axis: Axis, name: str) -> DataFrame:
-    """Each row of ``keys`` with each label of the axis, as column ``name``.
+    """Each row of ``keys`` with each label of the axis, as column ``name``."""
+    return _expand(keys, axis_table(keys.sparkSession, axis, name), name)
 
-    The keys are dealt out first, so a handful of them does not make one task's work.
+
+def _expand(keys: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """``labels`` has no label twice; a NULL among them is left out."""
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = F.greatest(F.ceil(F.count(name) / CHUNK), F.lit(1)).cast("int")
+    chunks = labels.agg(needed.alias("n")).scalar()
+    buckets = F.ceil(F.lit(2 * parts) / chunks).cast("int")
+
+    # never NULL, also to the planner, which would otherwise put a filter on it below the shuffles
+    def place(number: Column, count: Column) -> Column:
+        return F.coalesce(F.pmod(number, count).cast("int"), F.lit(0))
+
+    chunk = place(F.xxhash64(name), chunks).alias("__chunk")
+    packed = labels.select(name, chunk).groupBy("__chunk").agg(F.collect_list(name).alias("__labels"))
+    packed = packed.withColumn("__bucket", F.explode(F.sequence(F.lit(0), buckets - 1)))
+    columns = [F.col(f"`{c}`") for c in keys.columns]
+    bucket = place(F.xxhash64(*columns), buckets) if columns else F.lit(0)
+    asked = keys.withColumn("__bucket", bucket).withColumn("__chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    # the number of partitions is given, so that few and small keys are not put together again
+    met = asked.repartition(parts, "__bucket", "__chunk").join(packed, ["__bucket", "__chunk"])
+    return met.select(*columns, F.explode("__labels").alias(name))
+
+
+def domain_of(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The distinct combinations of some columns, in a form that several readers share.
+
+    Keys and axis derived from it use one shuffle of ``df``. The filter holds for every
+    row; it only keeps the planner from deriving each of them from ``df`` anew.
     """
-    spark = keys.sparkSession
-    labels = axis_table(spark, axis, name)
-    chunks = F.ceil(F.count(F.lit(1)) / CHUNK).cast("int")
-    count = labels.agg(F.greatest(chunks, F.lit(1)).alias("n")).scalar()
-    labels = labels.withColumn("__chunk", F.pmod(F.xxhash64(name), count).cast("int"))
-    if keys.columns:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        keys = keys.repartition(parts, *[F.col(f"`{c}`") for c in keys.columns])
-    asked = keys.withColumn("__chunk", F.explode(F.sequence(F.lit(0), count - 1)))
-    return asked.join(labels, "__chunk").drop("__chunk")
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__cells"))
+    return counted.filter("__cells > 0").drop("__cells")
 
 
 def complete_grid(
@@ -88,23 +109,21 @@ def complete_grid(
 
     Without ``axis`` the periods are those of ``df``. Rows off the axis are dropped.
     """
-    axis = axis_of(df, period) if axis is None else axis
-    grid = expand(df.select(*keys).distinct(), axis, period)
+    if axis is None:
+        domain = domain_of(df, [*keys, period])
+        grid = _expand(domain.select(*keys).distinct(), domain.select(period).distinct(), period)
+    else:
+        grid = expand(df.select(*keys).distinct(), axis, period)
     return null_safe_join(grid, df, [*keys, period], "left", not_null=[period]).select(*df.columns)
 
 
-def complete_long_axis(df: DataFrame, keys: list[str], period: str = "period") -> DataFrame:
-    """:func:`complete_grid` on the periods of ``df``, which has no limit any more."""
-    return complete_grid(df, keys, None, period)
-
-
 def complete_within(df: DataFrame, a: str, b: str) -> DataFrame:
     """Add a row for every combination of two columns that does not occur.
 
     The added rows are NULL in all other columns.
     """
-    present = df.select(a, b).distinct()
-    grid = expand(df.select(a).distinct(), axis_of(df, b), b)
+    present = domain_of(df, [a, b])
+    grid = _expand(present.select(a).distinct(), present.select(b).distinct(), b)
     absent = null_safe_join(grid, present, [a, b], "left_anti", not_null=[b])
     return df.unionByName(absent.select(a, b), allowMissingColumns=True)
 
@@ -185,12 +204,13 @@ def to_country_panel(
     """Exactly the official countries, each with every category in every year.
 
     Cells that were absent get ``fill``; with ``null_to_zero`` present cells without
-    a value become 0 first. The categories and the years come from one aggregate of ``df``.
+    a value become 0 first. The categories and the years come from one aggregate of ``df``,
+    so ``df`` is read twice, for them and for its cells.
     """
     if null_to_zero:
         df = df.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
     categories = [c for c in df.columns if c not in (region, period, value)]
-    domain = df.select(*categories, period).distinct()
-    grid = expand(domain.select(*categories).distinct(), axis_of(domain, period), period)
+    domain = domain_of(df, [*categories, period])
+    grid = _expand(domain.select(*categories).distinct(), domain.select(period).distinct(), period)
     grid = expand(grid, countries, region)
     return _fill_cells(df, grid, countries, fill, region, value, [*categories, period])

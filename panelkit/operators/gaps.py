@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampType
 
 from panelkit.operators.complete import Axis, axis_of, axis_table, on_axis
 from panelkit.operators.joins import null_safe_join
+from panelkit.operators.ranks import ranked
 
 PARTS = ("linear", "forward", "backward")
+RANGES = 32  # parts in which an axis is numbered
 
 
 def _between(prev: Column, nxt: Column, x: Column) -> Column:
@@ -150,13 +153,12 @@ def complete_and_fill(
     Keys listed in ``series`` are present even if ``df`` has no row for them; they
     cost one row each, not one per period. Rows are ``keys, period, value``.
 
-    Periods are numbered in a table of their own, which is joined; the window that
-    numbers them sees each period of the axis once.
+    Periods are numbered in a table of their own, which is joined. Two values of one key
+    and period are an error.
     """
-    points = axis_table(df.sparkSession, axis, "__axis").withColumn(
-        "__slot", F.row_number().over(Window.orderBy("__axis"))
-    )
-    last = points.agg(F.max("__slot").alias("n")).scalar()
+    labels = axis_table(df.sparkSession, axis, "__axis")
+    points = numbered(labels, "__axis", "__slot")
+    last = labels.agg(F.count("__axis").cast("int").alias("n")).scalar()
     w = Window.partitionBy(*keys).orderBy(F.col("__known").desc(), F.col("__slot"))
     cells = df.join(points, F.col(period) == F.col("__axis")).select(*keys, period, "__slot", value)
     if series is not None:
@@ -176,7 +178,9 @@ def complete_and_fill(
         # known points, or one row to stand for a series without any
         .filter(F.col("__known") | (F.col("__rank") == 1))
     )
+    twice = F.raise_error(F.lit(f"two values of one key {keys} and {period}")).cast("int")
     low = F.when(F.col("__rank") == 1, F.lit(1)).otherwise(F.col("__slot"))
+    low = F.when(F.col("__slot") == F.col("__next_slot"), twice).otherwise(low)
     high = F.when(F.col("__next_p").isNull(), last).otherwise(F.col("__next_slot") - 1)
     named = points.select(F.col("__slot").alias("__at"), F.col("__axis").alias("__at_p"))
     out = sparse.withColumn("__at", F.explode(F.sequence(low, high))).join(named, "__at")
@@ -194,6 +198,27 @@ def complete_and_fill(
     )
 
 
+def numbered(labels: DataFrame, column: str, name: str) -> DataFrame:
+    """``labels``, a table of distinct labels, with the number of each in their order, from 1.
+
+    No task sees them all: approximate percentiles cut numbers and dates into ``RANGES`` ranges,
+    labels are numbered in their range, and the sizes of the ranges before it are added. Other
+    labels are numbered by :func:`ranked`.
+    """
+    kind = labels.schema[column].dataType
+    if not isinstance(kind, NumericType | DateType | TimestampType):
+        return ranked(labels, [column], name=name).withColumn(name, F.col(name).cast("int"))
+    cuts = [i / RANGES for i in range(1, RANGES)]
+    bounds = labels.agg(F.percentile_approx(column, cuts, 10 * RANGES).alias("bounds")).scalar()
+    after = [F.coalesce(F.col("__bounds")[i] < F.col(column), F.lit(False)).cast("int") for i in range(RANGES - 1)]
+    ranged = labels.withColumn("__bounds", bounds).withColumn("__range", sum(after[1:], after[0])).drop("__bounds")
+    sizes = [F.count_if(F.col("__range") < i).cast("int") for i in range(RANGES)]
+    offsets = ranged.agg(F.array(*sizes).alias("offsets")).scalar()
+    own = F.row_number().over(Window.partitionBy("__range").orderBy(column))
+    placed = ranged.withColumn("__own", own).withColumn("__offsets", offsets)
+    return placed.withColumn(name, F.col("__own") + F.col("__offsets")[F.col("__range")]).select(*labels.columns, name)
+
+
 def fill_years(df: DataFrame, years: Axis, keys: list[str] | None = None) -> DataFrame:
     """Bring every series to the listed years: linear between, constant outside."""
     if keys is None:

@@ -4,7 +4,6 @@ from conftest import cells
 from panelkit.operators.complete import (
     axis_of,
     complete_grid,
-    complete_long_axis,
     complete_within,
     copy_latest,
     copy_year,
@@ -33,7 +32,6 @@ def test_grid_has_every_combination(frame):
         (None, 3): None,
     }
     assert cells(complete_grid(df, ["region"]), "region", "period") == want
-    assert cells(complete_long_axis(df, ["region"]), "region", "period") == want
 
 
 def test_complete_within(frame):

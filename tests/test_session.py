@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelkit.operators.aggregate import times_total
-from panelkit.operators.complete import complete_grid, complete_long_axis, complete_within
+from panelkit.operators.complete import complete_grid, complete_within
 from panelkit.session import checkpoint_folder, durable, with_folder
 from tools.plans import plan_of
 
@@ -43,7 +43,7 @@ def test_long_axes_have_no_limit(spark):
     other = spark.createDataFrame([("B", 5, 2.0)], "region string, period int, value double")
     both = keyed.select("region", "period", "value").unionByName(other)
     assert complete_grid(both, ["region"]).count() == 400_000
-    assert complete_long_axis(keyed, ["region"]).count() == 200_000
+    assert complete_grid(keyed, ["region"]).count() == 200_000
     labels = long.select(F.col("period").cast("string").alias("b"), (F.col("period") % 2).alias("a"))
     assert complete_within(labels, "a", "b").count() == 400_000
 
