@@ -170,7 +170,7 @@ def dashboard(spark, sf_dir, texts: bool = False, emissions: bool = True) -> Das
     """The inputs; without ``emissions`` there is no history."""
     # the facts are read once each; the sheets are made from these sums
     lines = durable(instrument_lines(spark, sf_dir))
-    history = durable(history_panel(spark, sf_dir)) if emissions else None
+    history = history_panel(spark, sf_dir) if emissions else None
     of_bloc = F.col("unique_id") == K.BLOC_ID
     ids = instrument_ids(spark, sf_dir)
     regions = ids.select(
@@ -423,7 +423,7 @@ LEFT JOIN netted n ON n.region = n_name AND n.period = y.period AND n.type IS NO
   AND n.status IS NOT DISTINCT FROM k.status AND n.sector_group IS NOT DISTINCT FROM k.sector_group""")
 def price_on_country_list(spark, sf_dir):
     board = dashboard(spark, sf_dir, emissions=False)
-    return rounded(dashboard_panel(board, all_nations(spark, sf_dir), "price"))
+    return rounded(dashboard_panel(board, all_nations(spark, sf_dir), "price", cut_lineage=True))
 
 
 @query(f"""WITH {H.strip()},

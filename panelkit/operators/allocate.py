@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import cells, member_of, sum_zero  # noqa: I001
-from panelkit.operators.complete import Axis, expand, on_axis
+from panelkit.operators.complete import Axis, axis_table, expand
 from panelkit.operators.joins import lookup
 
 
@@ -206,8 +206,11 @@ def allocate_group_total(
 
     ``totals`` is ``(period, value)``, ``base`` is ``(region, period, value)``. A member
     gets 0 in periods without a bloc total.
+
+    The members are joined, not filtered by: a filter would reach below the aggregate that
+    made ``base``, which then could not share its shuffle with other readers.
     """
-    inside = on_axis(base, "region", members)
+    inside = base.join(axis_table(base.sparkSession, members, "region"), "region")
     sums = inside.groupBy(period).agg(sum_zero(F.col(value)).alias("__base"))
     share = totals.join(sums, period, "left").select(
         period, F.try_divide(F.col(value), F.col("__base")).alias("__share")

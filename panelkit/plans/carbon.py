@@ -25,7 +25,6 @@ from panelkit.operators.complete import (
     copy_year,
     flag_on_axis,
     grid_of,
-    on_axis,
     to_country_panel,
 )
 from panelkit.operators.joins import combine, null_safe_join
@@ -165,6 +164,39 @@ def emission_share_panel(board: Dashboard) -> DataFrame:
     return _panel_by_name(board.emissions, "name_of_the_initiative", board)
 
 
+def history_cells(board: Dashboard) -> DataFrame:
+    """``region, period, sector_group, value``: historical emissions per sector group.
+
+    Everything that is computed from the history starts here, so that the history is read and
+    shuffled once: totals, bulk emissions, groups and the latest year share this
+    aggregate. Sectors in no group are ``other``. The filter holds for every row; it keeps both
+    sums in the aggregate for every reader, so that all of them can use its one shuffle. A
+    row without a region counts in totals only, one without a year nowhere.
+    """
+    label = F.coalesce(
+        *[F.when(F.col("variable").isin(K.SECTOR_GROUPS[g]), F.lit(g)) for g in GROUPS], F.lit("other")
+    )
+    summed = (
+        board.history.filter(F.col("period").isNotNull())
+        .groupBy(F.coalesce("region", F.lit("")).alias("region"), "period", label.alias("sector_group"))
+        .agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("__rows"))
+    )
+    kept = summed.filter((F.col("__rows") > 0) | F.col("value").isNull())
+    return kept.select("region", "period", "sector_group", F.coalesce("value", F.lit(0.0)).alias("value"))
+
+
+def _cells_of(cells_of_groups: DataFrame, groups: list[str], prefix: str) -> DataFrame:
+    """One row per region and year that has one of the groups, with a column per group.
+
+    The groups are chosen after the aggregate, not by a filter that would reach below
+    :func:`history_cells` and make its shuffles differ.
+    """
+    label = F.col("sector_group")
+    sums = [sum_zero(F.when(label == g, F.col("value"))).alias(prefix + g) for g in groups]
+    present = F.count_if(label.isin(groups)).alias("__present")
+    return cells_of_groups.groupBy(*CELL).agg(*sums, present).filter("__present > 0").drop("__present")
+
+
 def history_by_sector(board: Dashboard) -> DataFrame:
     """Historical emissions per region, year and sector, last year repeated."""
     source, targets = board.tail
@@ -178,7 +210,7 @@ def history_by_sector(board: Dashboard) -> DataFrame:
 def covered_emissions_panel(board: Dashboard) -> DataFrame:
     """Share of global emissions times the global emissions of the year."""
     source, targets = board.tail
-    totals = total_by(copy_year(board.history, source, targets), ["period"])
+    totals = total_by(copy_year(history_cells(board), source, targets), ["period"])
     return times_total(emission_share_panel(board), totals)
 
 
@@ -218,8 +250,8 @@ def net_of_bloc(df: DataFrame, board: Dashboard) -> DataFrame:
 def allocate_bloc(df: DataFrame, board: Dashboard) -> DataFrame:
     """Country rows, and the bloc's covered emissions in proportion to bulk emissions."""
     source, targets = board.tail
-    is_bulk = F.col("variable").isin(K.SECTOR_GROUPS["bulk"])
-    bulk = total_by(copy_year(board.history.filter(is_bulk), source, targets), CELL)
+    cells_of_groups = copy_year(history_cells(board), source, targets)
+    bulk = _cells_of(cells_of_groups, ["bulk"], "").withColumnRenamed("bulk", "value")
     totals = df.filter(F.col("unique_id") == board.bloc).select("period", "value")
     allocated = allocate_group_total(totals, bulk, board.members)
     tags = {
@@ -248,11 +280,16 @@ def read_dashboard(board: Dashboard, subtype: str = "price") -> DataFrame:
     return builders[subtype]()
 
 
-def dashboard_panel(board: Dashboard, countries: Axis, subtype: str = "price") -> DataFrame:
-    """One table on the official country list: absent cells and missing values are 0."""
-    return to_country_panel(
-        read_dashboard(board, subtype), countries, fill=0.0, null_to_zero=True
-    )
+def dashboard_panel(
+    board: Dashboard, countries: Axis, subtype: str = "price", cut_lineage: bool = False
+) -> DataFrame:
+    """One table on the official country list: absent cells and missing values are 0.
+
+    The table is read twice, for the keys of the grid and for its cells; ``cut_lineage``
+    writes it to the checkpoint folder instead of computing it twice.
+    """
+    rows = read_dashboard(board, subtype)
+    return to_country_panel(durable(rows) if cut_lineage else rows, countries, fill=0.0, null_to_zero=True)
 
 
 # --- result -----------------------------------------------------------------
@@ -268,15 +305,7 @@ def gdp_per_capita(
 
 def history_by_group(board: Dashboard, years: list[int] | None = None) -> DataFrame:
     """Historical emissions with one column per sector group, absent years copied."""
-    history = copy_latest(board.history, years or K.HISTORY_YEARS)
-    wanted = [s for g in GROUPS for s in K.SECTOR_GROUPS[g]]
-    label = F.coalesce(
-        *[F.when(F.col("variable").isin(K.SECTOR_GROUPS[g]), F.lit(g)) for g in GROUPS]
-    )
-    grouped = history.filter(F.col("variable").isin(wanted)).withColumn(
-        "sector_group", label
-    )
-    return spread_groups(grouped, CELL, GROUPS, prefix="hist_")
+    return _cells_of(copy_latest(history_cells(board), years or K.HISTORY_YEARS), GROUPS, "hist_")
 
 
 def carbon_price(
@@ -292,7 +321,8 @@ def carbon_price(
 
     Every input is reduced to one row per (region, year) with the sector groups
     side by side, hash-partitioned alike. The rules between the groups are then
-    column expressions, so after these aggregations nothing is shuffled again.
+    column expressions, so after these aggregations nothing is shuffled again. Several rows
+    of a cell, of several instruments, are added up. The result counts its rows ``below_minimum``.
 
     Prices and covered emissions are read twice, for their years and their values.
     ``cut_lineage`` writes them to the checkpoint folder instead of computing them
@@ -307,7 +337,7 @@ def carbon_price(
     covered_rows = keep(read_dashboard(board, "emissionsCovered"))
     years = axis_of(covered_rows, "period")
     covered = spread_groups(
-        on_axis(covered_rows.filter(implemented), "region", countries),
+        covered_rows.filter(implemented),
         CELL,
         [K.ECONOMY_WIDE, *GROUPS],
         prefix="cov_",
@@ -316,13 +346,14 @@ def carbon_price(
         price_rows = keep(read_dashboard(board, "price"))
         years = common_axis(spark, "period", years, axis_of(price_rows, "period"))
         price = spread_groups(
-            on_axis(price_rows.filter(implemented), "region", countries),
+            price_rows.filter(implemented),
             CELL,
             [K.ECONOMY_WIDE, *GROUPS],
             prefix="price_",
         )
 
-    history = on_axis(history_by_group(board, history_years), "region", countries)
+    history = history_by_group(board, history_years)
+    # regions off the list find no row of the grid
     rows = (
         grid_of(spark, region=countries, period=years)
         .join(covered, CELL, "left")
@@ -352,4 +383,4 @@ def carbon_price(
     else:
         raise ValueError(f"unknown subtype {subtype}")
     unit, description = K.CARBON_OUTPUTS[subtype]
-    return Result(gather_groups(rows, CELL, measures), unit, description, minimum=0.0)
+    return Result(gather_groups(rows, CELL, measures), unit, description, minimum=0.0).checked()
