@@ -105,7 +105,7 @@ SELECT region, period, g AS sector_group, ROUND(COALESCE(SUM(value), 0), 8) AS v
   UNION ALL SELECT region, period, unnest(['bulk', 'diffuse']), value FROM p WHERE sector_group = 'all')
 GROUP BY 1, 2, 3""")
 def fold_all_group(spark, sf_dir):
-    pi = instruments_panel(spark, sf_dir).filter(F.col("status") == "implemented")
+    pi = instruments_panel(spark, sf_dir, statuses=["implemented"])
     return rounded(fold_group(pi, CELL, "all", GROUPS, keep=["other"]))
 
 

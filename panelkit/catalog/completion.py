@@ -15,7 +15,6 @@ from panelkit.catalog.tables import (
 from panelkit.operators.complete import (
     axis_of,
     complete_grid,
-    complete_long_axis,
     complete_within,
     copy_latest,
     copy_year,
@@ -59,9 +58,20 @@ def complete_grid_events(spark, sf_dir):
     return rounded(complete_grid(events_panel(spark, sf_dir), SERIES), places=6)
 
 
-@query(f"WITH {PE_GRID} SELECT region, category, period, ROUND(value, 6) AS value FROM grid", name="complete_long_axis")
-def complete_long_axis_events(spark, sf_dir):
-    return rounded(complete_long_axis(events_panel(spark, sf_dir), SERIES), places=6)
+# an axis of every minute that has an event
+@query("""WITH cells AS (
+  SELECT event_type AS category, CAST(epoch(date_trunc('minute', ts)) // 60 AS BIGINT) AS period, SUM(value) AS value
+  FROM events GROUP BY 1, 2)
+SELECT k.category, p.period, ROUND(c.value, 6) AS value
+FROM (SELECT DISTINCT category FROM cells) k CROSS JOIN (SELECT DISTINCT period FROM cells) p
+LEFT JOIN cells c ON c.category = k.category AND c.period = p.period""")
+def complete_long_axis(spark, sf_dir):
+    minutes = (
+        table(spark, sf_dir, "events")
+        .groupBy(F.col("event_type").alias("category"), minute_of(F.col("ts")).alias("period"))
+        .agg(F.sum("value").alias("value"))
+    )
+    return rounded(complete_grid(minutes, ["category"]), places=6)
 
 
 @query(f"""WITH {PE}, added AS (

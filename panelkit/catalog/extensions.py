@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from panelkit import constants as K
 from panelkit.catalog.registry import query, rounded
-from panelkit.catalog.tables import YEARS, sql_case, table
+from panelkit.catalog.tables import YEARS, region_map, sql_case, table
 from panelkit.functions import member_of, recode
+from panelkit.operators.aggregate import aggregate_result
 from panelkit.operators.complete import axis_of
 from panelkit.operators.joins import lookup, override_observed, override_with
 from panelkit.operators.reshape import widen_years
@@ -239,7 +240,7 @@ def weight_classes(spark, sf_dir):
     return rounded(weight_by_variable(coded, pop, gdp), "weight", places=4)
 
 
-@query(f"""WITH {_merged()}, {WEIGHTS},
+PANEL = f"""WITH {_merged()}, {WEIGHTS},
 listed AS (SELECT 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS region FROM nation WHERE n_name <> 'NATION_23'),
 kept AS (
   SELECT scenario, variable, period, region, value
@@ -248,16 +249,47 @@ kept AS (
 full_panel AS (
   SELECT k.scenario, k.variable, k.period, l.region, kept.value
   FROM (SELECT DISTINCT scenario, variable, period FROM kept) k CROSS JOIN listed l
-  LEFT JOIN kept ON kept.scenario = k.scenario AND kept.variable = k.variable AND kept.period = k.period AND kept.region = l.region)
-SELECT f.region, f.scenario, variable, 'unit' AS unit, f.period, ROUND(value, 4) AS value, ROUND({CLASS}, 4) AS weight
-FROM full_panel f LEFT JOIN w ON w.region = f.region AND w.scenario = f.scenario AND w.period = f.period""")
-def scenario_extension_panel(spark, sf_dir):
+  LEFT JOIN kept ON kept.scenario = k.scenario AND kept.variable = k.variable AND kept.period = k.period AND kept.region = l.region),
+weighted AS (
+  SELECT f.region, f.scenario, variable, 'unit' AS unit, f.period, value, {CLASS} AS weight
+  FROM full_panel f LEFT JOIN w ON w.region = f.region AND w.scenario = f.scenario AND w.period = f.period)"""
+
+
+def _extensions(spark, sf_dir):
     names = country_names(spark, sf_dir)
-    result = scenario_extensions(
+    return scenario_extensions(
         scenario_sheet(spark, sf_dir),
         names,
         *scenario_weights(spark, sf_dir),
         axis_of(names, "code"),
         cut_lineage=True,
     )
-    return rounded(result.data, "value", "weight", places=4)
+
+
+@query(f"""{PANEL}
+SELECT region, scenario, variable, unit, period, ROUND(value, 4) AS value, ROUND(weight, 4) AS weight FROM weighted""")
+def scenario_extension_panel(spark, sf_dir):
+    return rounded(_extensions(spark, sf_dir).data, "value", "weight", places=4)
+
+
+_SUMMED = ", ".join(f"'{v}'" for v in K.SUMMED_VARIABLES)
+
+
+# summed variables are added up, the others averaged; a weight missing next to a value makes a mean NULL;
+# means of amounts in cents lie on the border of two roundings at times, hence the millionth
+@query(f"""{PANEL},
+classed AS (
+  SELECT r_name, scenario, variable, unit, period, value, CASE WHEN value IS NOT NULL THEN weight END AS weight,
+         variable IN ({_SUMMED}) AS summed
+  FROM weighted JOIN nation ON region = 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') JOIN region r ON n_regionkey = r_regionkey)
+SELECT r_name AS region, scenario, variable, unit, period,
+       ROUND(0.000001 + CASE WHEN summed THEN COALESCE(SUM(value), 0)
+             WHEN COUNT(value) = COUNT(weight) AND SUM(weight) <> 0 THEN SUM(value * weight) / SUM(weight) END, 2) AS value,
+       CASE WHEN NOT summed THEN ROUND(COALESCE(SUM(weight), 0), 2) END AS weight
+FROM classed GROUP BY r_name, scenario, variable, unit, period, summed""")
+def scenario_by_region(spark, sf_dir):
+    codes = country_names(spark, sf_dir)
+    groups = region_map(spark, sf_dir).join(codes, F.col("CountryCode") == F.col("name"))
+    groups = groups.select(F.col("code").alias("CountryCode"), "RegionCode")
+    out = aggregate_result(_extensions(spark, sf_dir), groups).data
+    return rounded(out.withColumn("value", F.col("value") + 0.000001), "value", "weight", places=2)

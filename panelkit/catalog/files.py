@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 from panelkit.catalog.registry import query, rounded
 from panelkit.catalog.tables import PO, SECTOR_OF_FINAL, YEARS, orders_panel, sql_case, table
 from panelkit.functions import recode
+from panelkit.operators.panel import as_panel, read_panel, unique_cells, write_panel
 from panelkit.operators.reshape import melt_years, widen_years
-from panelkit.session import checkpoint_folder
+from panelkit.session import work_folder
 from panelkit.sources import read_indicator_folder, read_mapping, read_sheet
 
 SEGMENTS = list(SECTOR_OF_FINAL)
 
 
 def _folder(spark) -> str:
-    run = spark.sparkContext.applicationId
-    return f"{checkpoint_folder(spark)}/panelkit/{run}/{uuid.uuid4().hex}"
+    return f"{work_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def _write_sheet(wide, title: str) -> str:
@@ -66,6 +66,35 @@ def indicator_folder(spark, sf_dir):
     return rounded(rows.withColumn("type", F.split_part("type", F.lit("-"), F.lit(1))), places=2)
 
 
+@query(f"WITH {PO} SELECT region, period, category, ROUND(value, 4) AS value FROM po")
+def panel_round_trip(spark, sf_dir):
+    raw = orders_panel(spark, sf_dir).select(
+        F.col("region").alias("iso"), F.col("period").cast("string").alias("year"), "category", F.col("value").alias("amount")
+    )
+    panel = unique_cells(as_panel(raw, "iso", "year", "amount"))
+    path = _folder(spark)
+    write_panel(panel, path)
+    return rounded(read_panel(spark, path, panel.schema), places=4)
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS order_key,
+       'status ' || o_orderstatus || chr(10) || 'priority "' || o_orderpriority || '",' || chr(10) || 'as of ' || CAST(year(o_orderdate) AS VARCHAR) AS free_text,
+       CAST(o_custkey AS VARCHAR) AS customer
+FROM orders""")
+def sheet_with_line_breaks(spark, sf_dir):
+    note = F.concat(
+        F.lit("status "), "o_orderstatus", F.lit('\npriority "'), "o_orderpriority", F.lit('",\nas of '), F.year("o_orderdate")
+    )
+    sheet = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("Order key"), note.alias("Free text"), F.col("o_custkey").alias("Customer")
+    )
+    path = _folder(spark)
+    # a file per partition, each with its header
+    sheet.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return read_sheet(spark, path, multi_line=True)
+
+
 @query(f"""
 SELECT CAST(p_partkey AS VARCHAR) AS unique_id, COALESCE({sql_case("p_type", {"SMALL": "bulk", "LARGE": "diffuse"})}, '') AS sector_group
 FROM part""")

@@ -55,8 +55,9 @@ def melt_years_rows(spark, sf_dir):
 @query(f"""WITH {PO}
 SELECT region, category, period, ROUND(value, 4) AS value FROM po WHERE period IN (1999, 2000)""")
 def melt_chosen_years(spark, sf_dir):
-    wide = widen_years(orders_panel(spark, sf_dir), ["region", "category"], YEARS)
-    long = melt_years(wide, pattern=r"^\d{4}$", keep=[1999, 2000], drop_missing=True)
+    kept = [1999, 2000]
+    wide = widen_years(orders_panel(spark, sf_dir, kept), ["region", "category"], YEARS)
+    long = melt_years(wide, pattern=r"^\d{4}$", keep=kept, drop_missing=True)
     return rounded(long, places=4)
 
 
@@ -123,9 +124,7 @@ def relative_unit_flag(spark, sf_dir):
 SELECT region, sector_group, period, ROUND(value, 8) AS value FROM pi
 WHERE type = 'ets' AND status = 'implemented'""", name="drop_constant_columns")
 def drop_constant_columns_kept(spark, sf_dir):
-    pi = instruments_panel(spark, sf_dir).filter(
-        (F.col("type") == "ets") & (F.col("status") == "implemented")
-    )
+    pi = instruments_panel(spark, sf_dir, types=["ets"], statuses=["implemented"])
     return rounded(drop_constant_columns(pi))
 
 

@@ -6,10 +6,10 @@ with a large part of all rows adds one row per year to the join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.functions import pick, recode
+from panelkit.functions import in_years, pick, recode, recoded_to
 from panelkit.operators.complete import axis_of
 
 YEARS = list(range(1995, 2002))
@@ -45,10 +45,13 @@ def all_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- PO: order value per nation, year and market segment -------------------
 
 
-def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_panel(spark: SparkSession, sf_dir: str, years: list[int] | None = None) -> DataFrame:
+    """Of the listed years only, if there are any; orders of other years are not read."""
+    orders = table(spark, sf_dir, "orders")
+    if years is not None:
+        orders = orders.filter(in_years(F.col("o_orderdate"), years))
     per_customer = (
-        table(spark, sf_dir, "orders")
-        .groupBy("o_custkey", F.year("o_orderdate").alias("period"))
+        orders.groupBy("o_custkey", F.year("o_orderdate").alias("period"))
         .agg(F.sum("o_totalprice").alias("value"))
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -123,8 +126,12 @@ PART_GROUPS = {
 }
 
 
-def instruments_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts are joined first and rows summed per supplier before the next join.
+def instruments_panel(
+    spark: SparkSession, sf_dir: str, types: list[str] | None = None, statuses: list[str] | None = None
+) -> DataFrame:
+    """Of the listed types and statuses only, if there are any; lines of others are not read.
+
+    Parts are joined first and rows summed per supplier before the next join.
 
     Summing lines per part before the first join would shuffle nearly all of them
     once more. A part with very many lines is left to the join's skew handling,
@@ -133,7 +140,11 @@ def instruments_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(
         "p_partkey", recode(F.col("p_type"), PART_GROUPS).alias("sector_group")
     )
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem")
+    for column, labels, wanted in (("l_returnflag", FLAG_TYPES, types), ("l_linestatus", STATUS, statuses)):
+        if wanted is not None:
+            lines = lines.filter(recoded_to(F.col(column), labels, wanted))
+    lines = lines.select(
         "l_partkey",
         "l_suppkey",
         F.year("l_shipdate").alias("period"),

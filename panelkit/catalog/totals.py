@@ -48,7 +48,7 @@ def customers(spark, sf_dir):
 SELECT region, sector_group, period, ROUND(COALESCE(SUM(value), 0), 8) AS value
 FROM pi WHERE status = 'implemented' GROUP BY 1, 2, 3""")
 def sum_out_type(spark, sf_dir):
-    pi = instruments_panel(spark, sf_dir).filter(F.col("status") == "implemented")
+    pi = instruments_panel(spark, sf_dir, statuses=["implemented"])
     return rounded(sum_out(pi.drop("status"), ["type"]))
 
 
@@ -59,14 +59,14 @@ SELECT region, sector_group, period,
        CASE WHEN COUNT(*) = COUNT(value) THEN ROUND(SUM(value), 8) END AS value
 FROM cut GROUP BY 1, 2, 3""")
 def sum_out_strict(spark, sf_dir):
-    pi = instruments_panel(spark, sf_dir).filter(F.col("status") == "implemented")
+    pi = instruments_panel(spark, sf_dir, statuses=["implemented"])
     cut = pi.drop("status").withColumn("value", F.when(F.col("value") >= 4, F.col("value")))
     return rounded(sum_out(cut, ["type"], strict=True))
 
 
 @query(f"""WITH {PO}, total AS (SELECT period, SUM(value) AS total FROM po GROUP BY period),
 part_of AS (SELECT region, period, category, value / SUM(value) OVER (PARTITION BY region, period) AS share FROM po)
-SELECT s.region, s.period, s.category, ROUND(s.share * t.total) AS value
+SELECT s.region, s.period, s.category, ROUND(s.share * t.total, 2) AS value
 FROM part_of s LEFT JOIN total t ON t.period = s.period""")
 def share_times_total(spark, sf_dir):
     po = orders_panel(spark, sf_dir)
@@ -76,7 +76,7 @@ def share_times_total(spark, sf_dir):
         .withColumn("value", F.col("value") / F.col("whole"))
         .drop("whole")
     )
-    return rounded(times_total(shares, total_by(po, ["period"])), places=0)
+    return rounded(times_total(shares, total_by(po, ["period"])), places=2)
 
 
 @query(f"""WITH {PO} SELECT period, ROUND(SUM(value), 4) AS value FROM po

@@ -11,8 +11,10 @@ from panelkit.functions.missing import (  # noqa: F401
 from panelkit.functions.labels import (  # noqa: F401
     extract_groups,
     file_stem,
+    in_years,
     is_relative_unit,
     pick,
     recode,
+    recoded_to,
     weight_choice,
 )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +19,29 @@ def recode(col: Column, labels: Mapping[str, str], default: Column | None = None
     return out
 
 
+def recoded_to(col: Column, labels: Mapping[str, str], wanted: Iterable[str]) -> Column:
+    """Whether ``recode(col, labels)`` is one of the wanted labels, asked of the column itself.
+
+    The same rows as a filter on the recoded column, but the condition names raw values, so
+    it reaches the scan.
+    """
+    chosen = set(wanted)
+    return col.isin([old for old, new in labels.items() if new in chosen])
+
+
+def in_years(date: Column, years: Iterable[int]) -> Column:
+    """Whether a date or timestamp lies in one of the years, as ranges that reach the scan."""
+    out, listed = F.lit(False), sorted(set(years))
+    for i, first in enumerate(listed):
+        if i and listed[i - 1] == first - 1:
+            continue
+        last = first
+        while last + 1 in listed:
+            last += 1
+        out = out | ((date >= F.lit(datetime.date(first, 1, 1))) & (date < F.lit(datetime.date(last + 1, 1, 1))))
+    return out
+
+
 def extract_groups(col: Column, pattern: str, count: int) -> list[Column]:
     """The capture groups of ``pattern`` as columns, NULL where the text does not match."""
     return [

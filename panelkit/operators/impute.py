@@ -11,6 +11,7 @@ from panelkit.operators.joins import lookup, null_safe_join
 from panelkit.operators.gaps import zero_fill
 
 FLAGS = ("duplicated", "na_is_zero")
+FILL_TYPES = ("original", "filled_no_scaling", "filled_scaled")
 GROUP_KEYS = ["RegionCode", "driver", "driver_name", "unit", "weight", "period"]
 
 

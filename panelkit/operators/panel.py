@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelkit.functions import nan_to_null
 
 
 @dataclass(frozen=True)
 class Result:
-    """A panel with a ``value`` and, if it has one, a ``weight`` column."""
+    """A panel with a ``value`` and, if it has one, a ``weight`` column.
+
+    ``counts.get`` says after an action on ``data`` how many rows fell below ``minimum`` and
+    what else the preparation counts.
+    """
 
     data: DataFrame
     unit: str
     description: str
     minimum: float | None = None
+    counts: Observation | None = None
+
+    def checked(self, **conditions: Column) -> Result:
+        """The same result with :func:`counted` rows, those below its ``minimum`` among them."""
+        if self.minimum is not None:
+            conditions["below_minimum"] = F.col("value") < self.minimum
+        data, counts = counted(self.data, **conditions)
+        return replace(self, data=data, counts=counts)
 
 
 def as_panel(
@@ -52,6 +65,39 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+def unique_cells(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """``df``, or an error when it is computed if a key has two rows.
+
+    The check is part of the plan and runs no job of its own: one aggregate by key, combined
+    map-side, which takes each cell's only row and fails where there is another. A NULL key
+    is a key. Without ``keys`` every column but the measures is one.
+    """
+    keys = panel_keys(df) if keys is None else keys
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    message = F.concat(F.lit(f"panel key {keys} occurs twice: "), shown)
+    others = [c for c in df.columns if c not in keys]
+    rows = F.count(F.lit(1))
+    checked = df.groupBy(*keys).agg(*[F.first(c).alias(c) for c in others], rows.alias("__rows"))
+    once = F.when(F.col("__rows") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return checked.filter(once).select(*df.columns)
+
+
+def counted(df: DataFrame, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """``df``, and the number of its rows for which each condition holds.
+
+    The counts are taken on the way while ``df`` is computed, without a job of their own;
+    they are there after the first action on the result. A stage that runs again counts
+    again.
+    """
+    counts = Observation()
+    return df.observe(counts, *[F.count_if(c).alias(name) for name, c in conditions.items()]), counts
+
+
+def read_panel(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What :func:`write_panel` wrote, with the columns of ``schema`` in their order."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 def assert_unique_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """Return ``df``, or fail if a key occurs twice. Runs a job."""
     found = duplicate_keys(df, keys).head(5)

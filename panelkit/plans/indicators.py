@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from panelkit import constants as K
 from panelkit.operators.complete import Axis, axis_of, expand, on_axis, to_country_panel
 from panelkit.operators.gaps import complete_and_fill
 from panelkit.operators.impute import (
+    FILL_TYPES,
     attach_metadata,
     attach_weight,
     impute,
@@ -89,6 +91,7 @@ def economy_indicators(
 
     The years are those of all regions in ``raw``, also of those not on the country list.
     ``weights`` is a :func:`weight_table`, or ``region, gdp, pop`` if they do not vary in time.
+    Two values of a cell are an error. The result counts its rows per way of filling.
     """
     filled = filled_indicators(
         on_axis(raw, "region", countries),
@@ -99,11 +102,15 @@ def economy_indicators(
         axis_of(raw, "period"),
     )
     out = imputed_indicators(filled, weights, groups, cut_lineage)
-    return Result(
+    result = Result(
         out.select(
             *["region", "type", "driver_name", "unit", "period"],
             F.col("value_filled").alias("value"),
             F.col("weight_val").alias("weight"),
+            "fill_type",
         ),
         *K.INDICATOR_OUTPUT,
     )
+    counts = {label: F.col("fill_type") == label for label in FILL_TYPES}
+    result = result.checked(**counts)
+    return replace(result, data=result.data.drop("fill_type"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelkit import constants as K
 from panelkit.operators.complete import Axis, axis_of, common_axis, on_axis, to_country_panel
 from panelkit.operators.joins import lookup, missing_keys, override_observed
-from panelkit.operators.panel import Result
+from panelkit.operators.panel import Result, unique_cells
 from panelkit.operators.reshape import melt_years, year_columns
 from panelkit.session import durable
 
@@ -91,12 +91,18 @@ def scenario_extensions(
 
     The sheet's years are those of its header. The merged rows are read three times,
     for the keys and the years of the grid and for their values; ``cut_lineage``
-    writes them to the checkpoint folder instead of computing them again.
+    writes them to the checkpoint folder instead of computing them again. Two rows of a cell
+    are an error. The result counts its rows ``without_weight``, those of summed variables not
+    among them; :func:`unmatched_names` tells which names have no code.
     """
     sheet_years = [int(y) for y in year_columns(sheet, K.FOUR_DIGIT_YEAR)]
     common = common_axis(
         sheet.sparkSession, "period", sheet_years, axis_of(population, "period"), axis_of(gdp, "period")
     )
     data = on_axis(scenario_panel(sheet, names, require_value), "period", common)
+    # rows without a region are off the list; several names may lack a code
+    data = unique_cells(data.filter(F.col("region").isNotNull()))
     data = to_country_panel(durable(data) if cut_lineage else data, countries)
-    return Result(weight_by_variable(data, population, gdp), *K.SCENARIO_OUTPUT)
+    result = Result(weight_by_variable(data, population, gdp), *K.SCENARIO_OUTPUT)
+    averaged = ~F.col("variable").isin(K.SUMMED_VARIABLES)
+    return result.checked(without_weight=averaged & F.col("weight").isNull())
