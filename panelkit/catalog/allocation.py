@@ -203,7 +203,7 @@ def expand_bloc(spark, sf_dir):
 
 
 @query(f"""WITH {BLOC}, price AS (
-  SELECT region, period, value FROM expanded WHERE unique_id = 'bloc' AND sector_group = 'bulk' AND period <> 1999),
+  SELECT region, period, value FROM expanded WHERE unique_id = 'bloc' AND sector_group = 'bulk'),
 marked AS (
   SELECT *, region IN (SELECT name FROM member) AND type = 'carbon_tax'
             AND status = 'implemented' AND sector_group = 'bulk' AS is_own FROM expanded)
@@ -215,11 +215,7 @@ FROM marked m JOIN price ON price.region = m.region AND price.period = m.period
 WHERE m.is_own AND m.value - price.value > 0""")
 def net_of_bloc(spark, sf_dir):
     rows = expanded(spark, sf_dir)
-    price = rows.filter(
-        (F.col("unique_id") == "bloc")
-        & (F.col("sector_group") == "bulk")
-        & (F.col("period") != 1999)
-    )
+    price = rows.filter((F.col("unique_id") == "bloc") & (F.col("sector_group") == "bulk"))
     rows = flag_on_axis(rows, "region", bloc_members(spark, sf_dir), "member")
     implemented = (F.col("status") == "implemented") & (F.col("sector_group") == "bulk")
     out = net_of_group(
@@ -234,17 +230,13 @@ def net_of_bloc(spark, sf_dir):
 @query(f"""WITH {PO}, member AS (
   SELECT n_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'),
 base AS (SELECT region, period, SUM(value) AS value FROM po WHERE region IN (SELECT name FROM member) GROUP BY 1, 2),
-total AS (SELECT period, SUM(value) AS value FROM po WHERE category = 'MACHINERY' AND period <> 2000 GROUP BY 1),
+total AS (SELECT period, SUM(value) AS value FROM po WHERE category = 'MACHINERY' GROUP BY 1),
 share AS (SELECT t.period, t.value / SUM(b.value) AS share FROM total t JOIN base b ON b.period = t.period GROUP BY t.period, t.value)
 SELECT base.region, base.period, ROUND(COALESCE(base.value * share.share, 0), 4) AS value
 FROM base LEFT JOIN share ON share.period = base.period""")
 def allocate_bloc_total(spark, sf_dir):
     po = orders_panel(spark, sf_dir)
-    totals = (
-        po.filter((F.col("category") == "MACHINERY") & (F.col("period") != 2000))
-        .groupBy("period")
-        .agg(F.sum("value").alias("value"))
-    )
+    totals = po.filter(F.col("category") == "MACHINERY").groupBy("period").agg(F.sum("value").alias("value"))
     out = allocate_group_total(totals, sum_out(po, ["category"]), bloc_members(spark, sf_dir))
     return rounded(out, places=4)
 

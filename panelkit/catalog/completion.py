@@ -189,7 +189,8 @@ def fill_long_series(spark, sf_dir):
     return rounded(fill_gaps_chunked(cells, ["category"], chunk=1440, by="period"), places=9)
 
 
-@query(f"""WITH {PO}, sparse AS (SELECT * FROM po WHERE period NOT IN (1997, 1998)),
+@query(f"""WITH {PO}, sparse AS (
+  SELECT region, category, period, CASE WHEN period NOT IN (1997, 1998) THEN value END AS value FROM po),
 axis AS (SELECT unnest(range(1994, 2003)) AS period),
 keys AS (SELECT DISTINCT region, category FROM sparse),
 grid AS (
@@ -208,5 +209,6 @@ SELECT region, category, period,
        ROUND(COALESCE(value, pv + (nv - pv) * (period - pi) / (ni - pi), pv, nv), 4) AS value
 FROM points""", name="fill_years")
 def fill_years_to_list(spark, sf_dir):
-    sparse = orders_panel(spark, sf_dir).filter(~F.col("period").isin(1997, 1998))
+    known = ~F.col("period").isin(1997, 1998)
+    sparse = orders_panel(spark, sf_dir).withColumn("value", F.when(known, F.col("value")))
     return rounded(fill_years(sparse, range(1994, 2003)), places=4)

@@ -90,7 +90,7 @@ def country_names(spark, sf_dir):
 
 
 def scenario_weights(spark, sf_dir):
-    """Population (number of orders, from 1996) and GDP (order value) per scenario."""
+    """Population (number of orders) and GDP (order value) per scenario."""
     per_customer = (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey", F.year("o_orderdate").alias("period"), "o_orderpriority")
@@ -110,7 +110,7 @@ def scenario_weights(spark, sf_dir):
         )
     )
     key = ["region", "period", "scenario"]
-    pop = per_nation.filter("period >= 1996").select(*key, F.col("pop").alias("value"))
+    pop = per_nation.select(*key, F.col("pop").alias("value"))
     return pop, per_nation.select(*key, F.col("gdp").alias("value"))
 
 
@@ -216,8 +216,8 @@ def unmatched_country_names(spark, sf_dir):
 WEIGHTS = f"""w AS (
   SELECT 'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS region, CAST(year(o_orderdate) AS INTEGER) AS period,
          {sql_case("o_orderpriority", PRIORITY_SCENARIO)} AS scenario, SUM(o_totalprice) AS gdp,
-         CASE WHEN year(o_orderdate) >= 1996 THEN CAST(COUNT(*) AS DOUBLE) END AS pop
-  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, year(o_orderdate)),
+         CAST(COUNT(*) AS DOUBLE) AS pop
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
 coded AS (
   SELECT CASE WHEN n_name <> 'NATION_23' THEN 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS region,
          scenario, variable, period, value
@@ -245,7 +245,7 @@ listed AS (SELECT 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS region FR
 kept AS (
   SELECT scenario, variable, period, region, value
   FROM (SELECT scenario, variable, period, CASE WHEN merged.region = 'NATION_23' THEN NULL ELSE 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS region, value
-        FROM merged JOIN nation ON n_name = merged.region) t WHERE period >= 1996),
+        FROM merged JOIN nation ON n_name = merged.region) t),
 full_panel AS (
   SELECT k.scenario, k.variable, k.period, l.region, kept.value
   FROM (SELECT DISTINCT scenario, variable, period FROM kept) k CROSS JOIN listed l
