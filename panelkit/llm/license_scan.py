@@ -122,8 +122,9 @@ def template_grams(spark: SparkSession, templates: tuple[Template, ...]) -> Data
 
 
 def votes(df: DataFrame, doc_id: str, text: str, templates: tuple[Template, ...]) -> DataFrame:
-    """``row, doc_id, n_words, t, diagonal, votes, first, last``, summed per diagonal.
+    """``row, doc_id, n_words, t, diagonal, votes, first, last``, gathered per diagonal.
 
+    ``votes`` are the places in the template, at most as many as it has, that were found.
     Every row of ``df`` also gives one row with template -1, so texts without a match and
     their sizes come through the same join.
     """
@@ -146,10 +147,10 @@ def votes(df: DataFrame, doc_id: str, text: str, templates: tuple[Template, ...]
     hits = hits.select(
         "row", "doc_id", F.size("words").cast("long").alias("n_words"), "t",
         F.when(F.col("t") < 0, 0).otherwise(place - F.col("at")).alias("diagonal"),
-        F.when(F.col("t") < 0, 0).otherwise(place).alias("place"), "k",
+        F.when(F.col("t") < 0, 0).otherwise(place).alias("place"), "k", "at",
     )
     return hits.groupBy("row", "doc_id", "n_words", "t", "diagonal").agg(
-        F.count(F.lit(1)).alias("votes"), F.min("place").alias("first"), (F.max("place") + F.max("k")).alias("last")
+        F.collect_set("at").alias("votes"), F.min("place").alias("first"), (F.max("place") + F.max("k")).alias("last")
     )
 
 
@@ -171,8 +172,10 @@ def spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFram
     summed = summed.withColumn("begins", F.coalesce(apart, F.lit(True)).cast("int"))
     summed = summed.withColumn("place", F.sum("begins").over(key))
     merged = summed.groupBy("row", "doc_id", "n_words", "t", "label", "phrase", "grams", "length", "place").agg(
-        F.sum("votes").alias("votes"), F.min("first").alias("start"), F.max("last").alias("stop")
+        F.collect_list("votes").alias("votes"), F.min("first").alias("start"), F.max("last").alias("stop")
     )
+    # a place in the template counts once, however often a text repeats it
+    merged = merged.withColumn("votes", F.size(F.array_distinct(F.flatten("votes"))))
     covered = F.least(F.col("votes") / F.col("grams"), F.lit(1.0))
     whole = F.when(F.col("phrase"), F.col("votes") == F.col("grams")).otherwise(
         (covered >= COVERED) & (F.col("stop") - F.col("start") <= 2 * F.col("length"))

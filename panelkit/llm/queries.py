@@ -59,7 +59,7 @@ dgram AS (
   SELECT doc_id, k, place, array_to_string(words[place + 1 : place + k], ' ') AS gram
   FROM doc, (VALUES (2), (4)) AS s(k), LATERAL (SELECT unnest(range(len(words) - k + 1)) AS place)),
 diag AS (
-  SELECT doc_id, t, label, phrase, length, grams, place - pos AS diagonal, count(*) AS votes,
+  SELECT doc_id, t, label, phrase, length, grams, place - pos AS diagonal, list(DISTINCT pos) AS votes,
          min(place) AS start, max(place) + max(dgram.k) AS stop
   FROM dgram JOIN tgram ON dgram.gram = tgram.gram AND dgram.k = tgram.k
   GROUP BY ALL),
@@ -69,7 +69,7 @@ step AS (
 island AS (
   SELECT *, sum(begins) OVER (PARTITION BY doc_id, t ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS isle FROM step),
 span AS (
-  SELECT doc_id, t, label, phrase, length, grams, isle, sum(votes) AS votes, min(start) AS start, max(stop) AS stop
+  SELECT doc_id, t, label, phrase, length, grams, isle, len(list_distinct(flatten(list(votes)))) AS votes, min(start) AS start, max(stop) AS stop
   FROM island GROUP BY ALL),
 good AS (
   SELECT *, least(CAST(votes AS DOUBLE) / grams, 1.0) AS cover FROM span

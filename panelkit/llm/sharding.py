@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import durable, quoted
+from panelkit.llm.common import durable, own, quoted
 
 STEP = 12  # bits looked at in a round
 BITS = 60  # bits of the hash
@@ -89,9 +89,14 @@ def _round(rows: DataFrame, limit: int, base: int, top: int) -> tuple[DataFrame,
 def write_shards(df: DataFrame, path: str, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Write the rows of ``df``, whole, in a Parquet folder per shard; returns the directory.
 
-    The directory has ``shard, depth, shard_bytes, fits``, a row per shard.
+    The directory has ``shard, depth, shard_bytes, fits``, a row per shard. Folders are named
+    after the column ``shard``, or ``shard_`` where ``df`` has one of that name. Rows that share a
+    key, or have none, are together in one shard, which may not fit then; no row is lost or
+    doubled. An empty table writes no folder.
     """
     placed = durable(assign(df, limit, key, text))
-    rows = df.join(placed.select(F.col("doc_id").alias("__key"), "shard").distinct(), quoted(key).eqNullSafe(F.col("__key")))
-    rows.drop("__key").repartition("shard").write.partitionBy("shard").parquet(path)
+    name, found = own("shard", df.columns), own("placed_key", df.columns)
+    keys = placed.select(F.col("doc_id").alias(found), F.col("shard").alias(name)).distinct()
+    rows = df.join(keys, quoted(key).eqNullSafe(F.col(found))).drop(found)
+    rows.repartition(name).write.partitionBy(name).parquet(path)
     return placed.select("shard", "depth", "shard_bytes", "fits").distinct()

@@ -213,3 +213,18 @@ def test_sharding(odd, none, spark, tmp_path):
     directory = sharding.write_shards(many, str(tmp_path / "out"), 400)
     assert all(r.fits for r in directory.collect())
     assert spark.read.parquet(str(tmp_path / "out")).count() == 300
+
+
+def test_repeated_parts_of_a_license_are_not_the_whole(spark):
+    rows = [(1, "released under the mit released under the mit"), (2, "Released under the MIT License."), (3, "released under the mit x released under the mit license")]
+    got = by_id(license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert (got[1].labels, got[1].n_base, got[1].n_spans) == ("", 0, 0)
+    assert (got[2].labels, got[2].score) == ("mit", 1.0) and got[3].labels == "mit"
+
+
+def test_shards_of_a_table_with_a_shard_column(spark, tmp_path):
+    rows = [(i if i % 9 else None, "t" * (i % 50), f"own {i}", i) for i in range(200)] + [(7, "again", "x", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string, placed_key int")
+    sharding.write_shards(df, str(tmp_path / "out"), 300)
+    back = spark.read.parquet(str(tmp_path / "out")).select(*df.columns)
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, rows))
