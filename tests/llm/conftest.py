@@ -16,7 +16,7 @@ TEXTS = [
     (11, "Grüße, 漢字 😀! <|endoftext|> it's fine.  \n\n"),
     (None, "a row without an id"),
 ]
-CLASHING = "words string, hash int, t int, row int, bits string, prefix string, part int, size int, cls int, n_words int, kept string, host string, score string, next string"
+CLASHING = "words string, hash int, t int, row int, bits string, prefix string, part int, size int, cls int, n_words int, kept string, host string, score string, next string, shard string, root bigint, visit int, quality_score double, bad_symbols boolean, component_id bigint, node string, lang_of string, weight bigint, digest string, part_name string, row_key bigint"
 
 
 @pytest.fixture(scope="session")
