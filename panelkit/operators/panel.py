@@ -65,12 +65,13 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def unique_cells(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def unique_cells(df: DataFrame, keys: list[str] | None = None, unless: Column | None = None) -> DataFrame:
     """``df``, or an error when it is computed if a key has two rows.
 
     The check is part of the plan and runs no job of its own: one aggregate by key, combined
     map-side, which takes each cell's only row and fails where there is another. A NULL key
-    is a key. Without ``keys`` every column but the measures is one.
+    is a key. Without ``keys`` every column but the measures is one. Keys for which ``unless``
+    holds may repeat, and one of their rows is kept.
     """
     keys = panel_keys(df) if keys is None else keys
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
@@ -78,7 +79,10 @@ def unique_cells(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     others = [c for c in df.columns if c not in keys]
     rows = F.count(F.lit(1))
     checked = df.groupBy(*keys).agg(*[F.first(c).alias(c) for c in others], rows.alias("__rows"))
-    once = F.when(F.col("__rows") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    twice = F.col("__rows") > 1
+    if unless is not None:
+        twice = twice & ~F.coalesce(unless, F.lit(False))
+    once = F.when(twice, F.raise_error(message).cast("boolean")).otherwise(True)
     return checked.filter(once).select(*df.columns)
 
 

@@ -100,8 +100,8 @@ def scenario_extensions(
         sheet.sparkSession, "period", sheet_years, axis_of(population, "period"), axis_of(gdp, "period")
     )
     data = on_axis(scenario_panel(sheet, names, require_value), "period", common)
-    # rows without a region are off the list; several names may lack a code
-    data = unique_cells(data.filter(F.col("region").isNotNull()))
+    # several names may lack a code; their rows are off the list, but their variables and years count
+    data = unique_cells(data, unless=F.col("region").isNull())
     data = to_country_panel(durable(data) if cut_lineage else data, countries)
     result = Result(weight_by_variable(data, population, gdp), *K.SCENARIO_OUTPUT)
     averaged = ~F.col("variable").isin(K.SUMMED_VARIABLES)

@@ -156,6 +156,15 @@ def test_unique_cells(frame):
             read()
 
 
+def test_unique_cells_with_keys_that_may_repeat(frame):
+    schema = "region string, period int, value double"
+    rows = [(None, 1, 1.0), (None, 1, 2.0), ("A", 1, 3.0)]
+    got = unique_cells(frame(schema, rows), unless=F.col("region").isNull()).collect()
+    assert sorted((r.region or "", r.period) for r in got) == [("", 1), ("A", 1)]
+    with pytest.raises(PySparkException, match="occurs twice: A, 1"):
+        unique_cells(frame(schema, [*rows, rows[2]]), unless=F.col("region").isNull()).collect()
+
+
 def test_the_sink_keeps_the_panel(spark, frame, tmp_path):
     raw = frame("iso string, y int, kind string, v double", [(f"R{i % 50:02d}", 2000 + i // 50, "x", float(i)) for i in range(500)])
     panel = unique_cells(as_panel(raw, "iso", "y", "v"))
